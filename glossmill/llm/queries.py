@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossmill.llm import formatdup, labelmap, normalize
+from glossmill.llm import formatdup, labelmap, leakage, neardup, normalize
 from glossmill.session import table
 
 
@@ -18,13 +18,21 @@ def _labels(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkS
     return lambda spark, d: op(table(spark, d, "dictionary_entry_parsed"), table(spark, d, "label_catalog"))
 
 
+def _leaks(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: op(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": lambda spark, d: neardup.found(table(spark, d, "dictionary_entry_parsed")),
     "p3_found": _lexicon(normalize.found),
     "p3_forms": _lexicon(lambda p, s: normalize.forms(p, s).select("field", "row_id", "form").distinct()),
     "p4_found": _labels(labelmap.found),
     "p4_report": _labels(labelmap.report),
     "p5_found": _lexicon(formatdup.found),
     "p5_records": _lexicon(formatdup.collapsed),
+    "p6_found": _leaks(leakage.found),
+    "p6_overlaps": _leaks(leakage.overlaps),
+    "p6_items": _leaks(leakage.leaked),
 }
 
 ORACLES: dict[str, str] = {}
