@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossmill.llm import formatdup, labelmap, leakage, neardup, normalize
+from glossmill.llm import formatdup, labelmap, leakage, mixing, neardup, normalize, reading
 from glossmill.session import table
 
 
@@ -22,6 +22,10 @@ def _leaks(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSe
     return lambda spark, d: op(table(spark, d, "documents"), table(spark, d, "eval_item"))
 
 
+def _levels(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: op(table(spark, d, "documents"), table(spark, d, "doc_rating"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda spark, d: neardup.found(table(spark, d, "dictionary_entry_parsed")),
     "p3_found": _lexicon(normalize.found),
@@ -33,6 +37,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_found": _leaks(leakage.found),
     "p6_overlaps": _leaks(leakage.overlaps),
     "p6_items": _leaks(leakage.leaked),
+    "p7_mix": lambda spark, d: mixing.mixed(table(spark, d, "documents"), table(spark, d, "mix_target")),
+    "p7_shares": lambda spark, d: mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_target")),
+    "p8_levels": _levels(reading.levels),
+    "p8_profile": _levels(reading.profile),
+    "p8_agreement": _levels(reading.agreement),
 }
 
 ORACLES: dict[str, str] = {}
