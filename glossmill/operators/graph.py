@@ -155,9 +155,9 @@ def concept_confidence(entries: DataFrame, parsed: DataFrame) -> DataFrame:
     """(canonical_word_id, sources, confidence): the share of all sources that know each canonical word's senses."""
     p = parsed.select("dictionary_entry_id", "source_code").where("source_code IS NOT NULL").distinct()
     e = entries.where("canonical_word_id IS NOT NULL").select("dictionary_entry_id", "canonical_word_id").distinct()
-    total = parsed.agg(F.countDistinct("source_code").alias("total"))
+    total = F.lit(max(p.select("source_code").distinct().count(), 1))
     n = p.join(e, "dictionary_entry_id").select("canonical_word_id", "source_code").distinct().groupBy("canonical_word_id").agg(F.count("*").alias("sources"))
-    return n.join(F.broadcast(total), how="cross").select("canonical_word_id", "sources", F.round(F.col("sources") / F.col("total"), 4).alias("confidence"))
+    return n.select("canonical_word_id", "sources", F.round(F.col("sources") / total, 4).alias("confidence"))
 
 
 def degrees(edges: DataFrame) -> DataFrame:

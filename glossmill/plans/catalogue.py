@@ -1,10 +1,339 @@
-"""The queries of the core operators and the SQL they are compared with."""
+"""The queries of the core operators, each over whole tables, and the SQL they are compared with."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from glossmill.functions import language, speech, text
+from glossmill.operators import ai, graph, lexicon, references, rewrite, suggest, verify
+from glossmill.plans import oracles
+from glossmill.session import table
+from glossmill.streaming import incremental
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = oracles.SQL
+
+
+def _over(*names: str) -> Callable[[Callable[..., DataFrame]], Callable[..., DataFrame]]:
+    """Register a function of those tables as a query of its name."""
+
+    def register(op: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        QUERIES[op.__name__.lstrip("_")] = lambda spark, d: op(*[table(spark, d, n) for n in names])
+        return op
+
+    return register
+
+
+def _add(name: str, op: Callable[..., DataFrame], *names: str) -> None:
+    QUERIES[name] = lambda spark, d: op(*[table(spark, d, n) for n in names])
+
+
+ENTRY, PARSED, SYNONYM, CANONICAL, LABEL = "dictionary_entry", "dictionary_entry_parsed", "dictionary_entry_synonym", "canonical_word", "label_catalog"
+EDGE, NODE, RELATION = "graph_edge", "graph_node", "graph_relation"
+
+# Problem 2.
+_add("p2_found", references.found, EDGE, NODE, RELATION, LABEL)
+_add("p2_report", references.report, EDGE, NODE, RELATION, LABEL)
+
+# Staging, merge, canonical words.
+_add("canonical_words", lexicon.canonical_words, ENTRY)
+_add("canonical_link_stats", lexicon.link_stats, ENTRY, CANONICAL)
+_add("canonical_resolve", lexicon.resolve, ENTRY, CANONICAL)
+_add("staging_rows", lambda e: lexicon.staged(e).drop("created_utc"), ENTRY)
+_add("staging_stats", lexicon.staging_stats, ENTRY)
+_add("merge_dedupe", lexicon.merged, ENTRY)
+_add("post_merge_verify", verify.post_merge, ENTRY, CANONICAL)
+_add("validate_entries", lexicon.validated, PARSED)
+_add("running_senses", lexicon.running_senses, PARSED)
+_add("word_variants", lexicon.variants, ENTRY)
+_add("labels_by_source", lexicon.labels_by_source, PARSED, LABEL)
+
+
+@_over(ENTRY)
+def merge_append(e: DataFrame) -> DataFrame:
+    """What a run adds to the entries of other sources than the largest one: keys KAIKKI has and they lack."""
+    return lexicon.merge_into(e.where("source_code = 'KAIKKI'"), e.where("source_code <> 'KAIKKI'").withColumn("source_code", F.lit("KAIKKI")))
+
+
+# Text functions.
+def _each(name: str, source: str, row_id: str, column: str, function: Callable[[Column], Column]) -> None:
+    _add(name, lambda t: t.select(row_id, function(F.col(column)).alias("value")).distinct(), source)
+
+
+_each("word_normalize", ENTRY, "dictionary_entry_id", "word", text.normalize_word)
+_each("word_sanitize", ENTRY, "dictionary_entry_id", "word", text.sanitize_word)
+_each("pos_normalize", ENTRY, "dictionary_entry_id", "part_of_speech", text.normalize_pos)
+_each("synonym_clean", SYNONYM, "dictionary_entry_synonym_id", "synonym_text", text.synonym_text)
+_each("alias_clean", PARSED, "dictionary_entry_parsed_id", "meaning_title", text.alias_text)
+_each("reference_target", SYNONYM, "dictionary_entry_synonym_id", "synonym_text", text.reference_target)
+_each("etymology_clean", ENTRY, "dictionary_entry_id", "etymology", text.etymology_text)
+_each("example_key", PARSED, "dictionary_entry_parsed_id", "definition", text.example_key)
+_each("ocr_normalize", PARSED, "dictionary_entry_parsed_id", "definition", text.ocr_normalize)
+_each("definition_tidy", PARSED, "dictionary_entry_parsed_id", "definition", text.tidy_definition)
+_each("definition_senses", PARSED, "dictionary_entry_parsed_id", "definition", lambda c: F.array_join(text.senses(c), "|"))
+_each("bracket_balance", PARSED, "dictionary_entry_parsed_id", "definition", rewrite.balanced)
+_each("abbreviation_standardize", ENTRY, "dictionary_entry_id", "part_of_speech", rewrite.abbreviations)
+_each("punctuation_normalize", PARSED, "dictionary_entry_parsed_id", "definition", rewrite.punctuation)
+_each("title_case", PARSED, "dictionary_entry_parsed_id", "meaning_title", rewrite.title_case)
+_each("primary_language", PARSED, "dictionary_entry_parsed_id", "definition", language.primary_language)
+
+
+@_over(ENTRY)
+def word_for_source(e: DataFrame) -> DataFrame:
+    return e.select("dictionary_entry_id", text.normalize_word_for(F.col("word"), F.col("source_code")).alias("value")).distinct()
+
+
+@_over(ENTRY)
+def pos_confidence(e: DataFrame) -> DataFrame:
+    pos = text.normalize_pos(F.col("part_of_speech"))
+    return e.select("dictionary_entry_id", pos.alias("pos"), text.pos_confidence(pos, F.col("source_code")).alias("confidence")).distinct()
+
+
+@_over(PARSED)
+def pos_infer(p: DataFrame) -> DataFrame:
+    """The part of speech that each definition's wording suggests."""
+    return p.select("dictionary_entry_parsed_id", text.infer_pos(F.col("definition")).alias("p")).select("dictionary_entry_parsed_id", "p.pos", "p.confidence").distinct()
+
+
+@_over(ENTRY, PARSED)
+def pos_history(e: DataFrame, p: DataFrame) -> DataFrame:
+    """(source_code, status, entries): entries whose part of speech is given, inferred from a sense, or stays unknown."""
+    best = p.select("dictionary_entry_id", text.infer_pos(F.col("definition")).alias("x")).where("x.pos <> 'unk'").select("dictionary_entry_id").distinct().withColumn("inferred", F.lit(True))
+    status = F.when(text.normalize_pos(F.col("part_of_speech")) != "unk", "given").when(F.col("inferred"), "inferred").otherwise("unknown")
+    return e.dropDuplicates(["dictionary_entry_id"]).join(best, "dictionary_entry_id", "left").groupBy("source_code", status.alias("status")).agg(F.count("*").alias("entries"))
+
+
+@_over("documents")
+def tokenize_words(d: DataFrame) -> DataFrame:
+    """(word, occurrences): the words of all documents."""
+    return d.select(F.explode(text.tokens(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("occurrences"))
+
+
+@_over("documents")
+def language_flags(d: DataFrame) -> DataFrame:
+    t = F.col("text")
+    return d.select("doc_id", language.contains_non_english(t).alias("non_english"), language.is_bilingual(t).alias("bilingual"), language.is_primarily_english(t).alias("english"))
+
+
+@_over("documents")
+def language_distribution(d: DataFrame) -> DataFrame:
+    x = d.select("doc_id", language.distribution(F.col("text")).alias("s"))
+    return x.select("doc_id", *[F.round(f"s.{c}", 4).alias(c) for c in ("latin", "chinese", "japanese", "korean", "ipa", "other")])
+
+
+@_over(PARSED)
+def non_english_texts(p: DataFrame) -> DataFrame:
+    return lexicon.other_languages(p)[0]
+
+
+@_over(PARSED)
+def non_english_shown(p: DataFrame) -> DataFrame:
+    return lexicon.other_languages(p)[1]
+
+
+@_over("documents")
+def example_filter(d: DataFrame) -> DataFrame:
+    """(valid, sentences): the sentences of all documents that can be examples, and those that cannot."""
+    s = d.select(F.explode(F.split("text", r"[.!?]+\s+|\n+")).alias("s")).where("s <> ''")
+    return s.groupBy(text.valid_example(F.concat("s", F.lit("."))).alias("valid")).agg(F.count("*").alias("sentences"))
+
+
+_add("synonym_filter", lexicon.synonyms, SYNONYM, PARSED)
+_add("top_synonyms", lambda s: lexicon.top_synonyms(s, 3), SYNONYM)
+_add("related_words", lexicon.related, PARSED)
+_add("antonym_anti_join", lexicon.without_antonyms, PARSED)
+_add("cross_references", lexicon.cross_references, PARSED, ENTRY)
+_add("etymology_language", lexicon.etymologies, ENTRY)
+
+
+@_over(SYNONYM, PARSED)
+def synonym_anti_join(s: DataFrame, p: DataFrame) -> DataFrame:
+    return lexicon.new_synonyms(lexicon.synonyms(s, p), s)
+
+
+# Pronunciation and syllables.
+@_over(PARSED)
+def ipa_extract(p: DataFrame) -> DataFrame:
+    x = p.select("dictionary_entry_parsed_id", F.explode(speech.ipa_of(F.when(F.col("definition").rlike("/[^/]+/"), F.col("definition")))).alias("x"))
+    return x.select("dictionary_entry_parsed_id", "x.ipa", "x.locale").distinct()
+
+
+@_over(PARSED)
+def ipa_locale_counts(p: DataFrame) -> DataFrame:
+    return ipa_extract(p).groupBy("locale").agg(F.count("*").alias("pronunciations"))
+
+
+@_over(PARSED)
+def ipa_syllables(p: DataFrame) -> DataFrame:
+    x = ipa_extract(p).select("ipa", "locale").distinct().withColumn("s", speech.ipa_syllables(F.regexp_replace("ipa", "/", "")))
+    return x.select("ipa", "locale", speech.render_ipa(F.col("s"), F.col("locale")).alias("rendered"), F.explode("s").alias("y")).select("ipa", "locale", "rendered", F.col("y.index").alias("syllable"), "y.text", "y.stress")
+
+
+@_over(CANONICAL)
+def orthographic_syllables(c: DataFrame) -> DataFrame:
+    return c.select("canonical_word_id", F.posexplode(speech.spelling_syllables("normalized_word")).alias("i", "syllable")).select("canonical_word_id", (F.col("i") + 1).alias("syllable_index"), "syllable")
+
+
+@_over(ENTRY, PARSED, CANONICAL)
+def ipa_coverage(e: DataFrame, p: DataFrame, c: DataFrame) -> DataFrame:
+    """How many canonical words have a pronunciation in some sense, by locale."""
+    s = p.select("dictionary_entry_parsed_id", "dictionary_entry_id").distinct()
+    w = e.select("dictionary_entry_id", "canonical_word_id").where("canonical_word_id IS NOT NULL").distinct()
+    return verify.coverage(c, ipa_extract(p).join(s, "dictionary_entry_parsed_id").join(w, "dictionary_entry_id").select("locale", "canonical_word_id"))
+
+
+# Keys, JSON, paging, samples.
+@_over("part")
+def sha256_keys(p: DataFrame) -> DataFrame:
+    return p.select("p_partkey", F.upper(F.sha2("p_name", 256)).alias("name_hash"), F.upper(F.sha2(F.concat_ws("|", "p_brand", "p_type", F.col("p_size").cast("string")), 256)).alias("key_hash"))
+
+
+@_over("events")
+def json_props(e: DataFrame) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("int")
+    return e.groupBy("event_type").agg(F.count(k).alias("with_k"), F.sum(k).alias("sum_k"), F.max(k).alias("max_k"))
+
+
+@_over("events")
+def ai_notes_merge(e: DataFrame) -> DataFrame:
+    """Each event's document with a list of notes in place of the one it had."""
+    return e.select("event_id", ai.merged_notes(F.col("props"), F.array(F.col("event_type"))).alias("notes"))
+
+
+@_over("orders")
+def keyset_page(o: DataFrame) -> DataFrame:
+    """One page of 50 after a key."""
+    return o.where("o_orderkey > 100").orderBy("o_orderkey").limit(50).select("o_orderkey", "o_totalprice")
+
+
+@_over("orders")
+def offset_page(o: DataFrame) -> DataFrame:
+    """The third page of 50 by price."""
+    return o.orderBy(F.desc("o_totalprice"), "o_orderkey").offset(100).limit(50).select("o_orderkey", "o_totalprice")
+
+
+_add("grammar_sample", verify.grammar_sample, PARSED)
+_add("qa_summary", verify.summary, ENTRY, PARSED, SYNONYM, CANONICAL)
+
+# The graph.
+_add("graph_nodes", graph.build_nodes, CANONICAL, PARSED, LABEL)
+_add("graph_edges", graph.build_edges, ENTRY, PARSED, LABEL)
+_add("graph_validate", graph.validate, EDGE, NODE)
+_add("graph_senses", lambda e: graph.neighbours(e, ("HAS_SENSE",), "Word"), EDGE)
+_add("graph_sense_count", graph.sense_counts, EDGE, CANONICAL)
+_add("graph_refs_out", lambda e: graph.neighbours(e, graph.REFERENCES, "Sense"), EDGE)
+_add("graph_refs_in", lambda e: graph.neighbours(e, graph.REFERENCES, "Sense", reverse=True), EDGE)
+_add("graph_words_of_concept", graph.words_of_concepts, EDGE, ENTRY, PARSED)
+_add("graph_degrees", graph.degrees, EDGE)
+_add("graph_concept_confidence", graph.concept_confidence, ENTRY, PARSED)
+_add("graph_rank", lambda e: graph.page_rank(e).select("node_id", F.round("rank", 6).alias("rank")), EDGE)
+
+
+@_over(ENTRY, PARSED, LABEL, EDGE)
+def graph_append(e: DataFrame, p: DataFrame, labels: DataFrame, g: DataFrame) -> DataFrame:
+    """How many edges a run in append mode would add, by relation."""
+    return graph.new_edges(graph.build_edges(e, p, labels), g).groupBy("relation_type").agg(F.count("*").alias("added"))
+
+
+def _words(g: DataFrame) -> DataFrame:
+    return g.where("from_node_id LIKE 'Word:%'").select(F.col("from_node_id").alias("node_id"))
+
+
+_add("graph_walk", lambda g: graph.walk(g, _words(g), 3), EDGE)
+_add("graph_reach", lambda g: graph.reach(g, _words(g), 3), EDGE)
+_add("graph_shortest_path", lambda g: graph.shortest(g, _words(g), "Domain:", 4), EDGE)
+_add("graph_components", lambda g: graph.components(graph.unique(g).where(F.col("relation_type").isin(*graph.REFERENCES)).select(F.col("from_node_id").alias("a"), F.col("to_node_id").alias("b"))), EDGE)
+
+# Rewriting.
+RULES = [
+    rewrite.Rule(1, "especially", "esp.", priority=10), rewrite.Rule(2, "compare", "cf.", priority=10), rewrite.Rule(3, "a piece of", "some", priority=20), rewrite.Rule(4, "piece", "part", priority=20),
+    rewrite.Rule(5, r"\bthe act of (\w+)", "act: $1", is_regex=True, priority=30), rewrite.Rule(6, "which", "that", priority=40, enabled=False), rewrite.Rule(7, "often", "mostly"), rewrite.Rule(8, "the", ""),
+]
+STOP_WORDS = ("the",)
+
+
+@_over(PARSED)
+def rewrite_map_apply(p: DataFrame) -> DataFrame:
+    """The definitions that the rules change."""
+    r = rewrite.rewritten(p, "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS))
+    return r.select("dictionary_entry_parsed_id", "after", F.array_join("rules", ",").alias("rules"))
+
+
+@_over(PARSED)
+def rewrite_hits(p: DataFrame) -> DataFrame:
+    return rewrite.hits(rewrite.rewritten(p, "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS)))
+
+
+def _pairs(s: DataFrame) -> DataFrame:
+    one = s.dropDuplicates(["dictionary_entry_synonym_id"])
+    sure = F.when(F.col("has_non_english_text"), 0.55).when(F.col("synonym_text").contains(" "), 0.7).otherwise(0.9)
+    return one.select("source_code", F.col("synonym_text").alias("from_text"), text.synonym_text(F.col("synonym_text")).alias("to_text"), sure.alias("confidence"))
+
+
+@_over(SYNONYM)
+def rewrite_candidates(s: DataFrame) -> DataFrame:
+    return rewrite.candidates(_pairs(s))
+
+
+@_over(SYNONYM, CANONICAL)
+def rewrite_promote(s: DataFrame, c: DataFrame) -> DataFrame:
+    """Candidates that become rules unless their text is a canonical word."""
+    return rewrite.promoted(rewrite.candidates(_pairs(s)), c.select(F.col("normalized_word").alias("from_text")))
+
+
+@_over(PARSED)
+def rewrite_pipeline(p: DataFrame) -> DataFrame:
+    out = p.select("dictionary_entry_parsed_id", "definition").distinct().withColumn("after", rewrite.pipeline(F.col("definition"), rewrite.ordered(RULES, STOP_WORDS)))
+    return out.where("after <> definition").select("dictionary_entry_parsed_id", "after")
+
+
+# Suggestions and merging of several results.
+@_over(PARSED)
+def suggestion_topk(p: DataFrame) -> DataFrame:
+    """For the title words of every fiftieth sense, the best definitions that hold all of them."""
+    d = p.where("definition IS NOT NULL").select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col("definition").alias("text")).dropDuplicates(["doc_id"])
+    q = d.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(text.tokens(F.col("text")), 1, 4), " ").alias("text"))
+    return suggest.search(d, q)
+
+
+@_over(SYNONYM)
+def suggestion_safe(s: DataFrame) -> DataFrame:
+    return s.select("dictionary_entry_synonym_id", suggest.safe(F.col("synonym_text"), 80).alias("safe")).distinct()
+
+
+@_over(SYNONYM)
+def ai_consensus(s: DataFrame) -> DataFrame:
+    """Of each sense's synonyms the longest, as a merge of several providers' answers by consensus would choose."""
+    x = s.select(F.col("dictionary_entry_parsed_id").alias("item_id"), F.col("source_code").alias("provider"), F.col("dictionary_entry_synonym_id").alias("position"), F.col("synonym_text").alias("answer"))
+    return ai.consensus(x)
+
+
+@_over(SYNONYM)
+def ai_first_success(s: DataFrame) -> DataFrame:
+    x = s.select(F.col("dictionary_entry_parsed_id").alias("item_id"), F.col("dictionary_entry_synonym_id").alias("position"), F.col("synonym_text").alias("answer"))
+    return ai.first_success(x)
+
+
+@_over("documents")
+def readability(d: DataFrame) -> DataFrame:
+    """Flesch reading ease of each document from its words, sentences and vowel groups."""
+    w, n = text.tokens(F.col("text")), F.col("w")
+    x = d.where("text IS NOT NULL").select("doc_id", w.alias("w"), F.greatest(F.regexp_count("text", F.lit("[.!?]+")), F.lit(1)).alias("s")).where(F.size(n) > 0)
+    syllables = F.aggregate(n, F.lit(0), lambda a, x: a + F.greatest(F.regexp_count(x, F.lit("[aeiouy]+")), F.lit(1)))
+    return x.select("doc_id", F.size(n).alias("words"), F.col("s").alias("sentences"), F.round(206.835 - 1.015 * F.size(n) / F.col("s") - 84.6 * syllables / F.size(n), 3).alias("ease"))
+
+
+@_over(PARSED)
+def html_text(p: DataFrame) -> DataFrame:
+    """Titles and fragments of senses put into HTML and read back as text."""
+    from glossmill.functions.html import to_text
+
+    x = p.select("dictionary_entry_parsed_id", F.concat(F.lit("<p><b>"), F.coalesce("meaning_title", F.lit("")), F.lit("</b> &amp; "), F.coalesce("alias", F.lit("")), F.lit("</p>")).alias("h")).distinct()
+    return x.select("dictionary_entry_parsed_id", to_text("h").alias("value"))
+
+
+QUERIES["stream_canonical_words"] = incremental.canonical_words_once
