@@ -84,3 +84,12 @@ def ship(spark: SparkSession) -> None:
                     z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(root)))
     sc.addPyFile(at)
     sc._glossmill_shipped = True
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores, for work that costs far more than moving its rows.
+
+    Only tables of fewer files than cores are moved; df must be a table or a narrow query over one.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
