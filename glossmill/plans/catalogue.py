@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossmill.functions import language, speech, text
-from glossmill.operators import ai, graph, lexicon, references, rewrite, suggest, verify
+from glossmill.functions import display, language, speech, text
+from glossmill.operators import ai, graph, lexicon, references, rewrite, skew, suggest, verify
 from glossmill.plans import oracles
 from glossmill.session import table
 from glossmill.streaming import incremental
@@ -336,4 +336,49 @@ def html_text(p: DataFrame) -> DataFrame:
     return x.select("dictionary_entry_parsed_id", to_text("h").alias("value"))
 
 
+# Display, audit and suggestion pairs.
+@_over(PARSED)
+def format_labels(p: DataFrame) -> DataFrame:
+    return p.select("dictionary_entry_parsed_id", display.domain_label(F.col("domain")).alias("domain"), display.usage_label(F.col("usage_label")).alias("usage_label")).distinct()
+
+
+_each("format_etymology", ENTRY, "dictionary_entry_id", "etymology", display.etymology)
+_each("expand_abbreviations", ENTRY, "dictionary_entry_id", "part_of_speech", display.expanded)
+_each("numbers_in_words", PARSED, "dictionary_entry_parsed_id", "definition", display.numbers_in_words)
+
+
+@_over(PARSED)
+def protect_tokens(p: DataFrame) -> DataFrame:
+    """Definitions with their kept tokens taken out, changed to capitals and put back."""
+    x = p.where("definition IS NOT NULL").select("dictionary_entry_parsed_id", "definition").distinct().withColumn("x", display.protected(F.col("definition")))
+    return x.select("dictionary_entry_parsed_id", F.size("x.tokens").alias("tokens"), display.restored(F.upper("x.text"), F.col("x.tokens")).alias("value"))
+
+
+@_over(PARSED, SYNONYM)
+def enhancement_notes(p: DataFrame, s: DataFrame) -> DataFrame:
+    """The rewritten senses that have no synonym yet, with an audit of the rules as JSON."""
+    new = p.join(s.select("dictionary_entry_parsed_id").distinct(), "dictionary_entry_parsed_id", "left_anti")
+    r = rewrite.rewritten(new, "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS))
+    return r.select("dictionary_entry_parsed_id", "after", F.to_json(F.struct(F.col("before").alias("original"), "rules")).alias("notes"))
+
+
+@_over(PARSED)
+def suggestion_pairs(p: DataFrame) -> DataFrame:
+    """(source_code, mode, original, enhanced, hash): one row for each changed definition and title."""
+    one = p.select("source_code", "definition", "meaning_title").distinct()
+    pairs = F.array(*[F.struct(F.lit(m).alias("mode"), text.trim(F.col(c)).alias("original"), f(text.trim(F.col(c))).alias("enhanced")) for m, c, f in (("Definition", "definition", text.tidy_definition), ("MeaningTitle", "meaning_title", rewrite.title_case))])
+    x = one.select("source_code", F.explode(pairs).alias("x")).select("source_code", "x.mode", "x.original", "x.enhanced")
+    ok = ~text.blank(F.col("source_code")) & ~text.blank(F.col("original")) & ~text.blank(F.col("enhanced")) & (F.col("original") != F.col("enhanced"))
+    return x.where(ok).withColumn("hash", F.upper(F.sha2("original", 256))).distinct()
+
+
+@_over(PARSED)
+def duplicate_senses(p: DataFrame) -> DataFrame:
+    """(dictionary_entry_id, kept, dropped): senses of one entry whose definitions have the same words in any order."""
+    words = F.array_join(F.array_sort(F.array_distinct(text.tokens(F.col("definition")))), " ")
+    k = p.select("dictionary_entry_id", "dictionary_entry_parsed_id", F.md5(words).alias("k")).where(words != "").distinct()
+    g = k.groupBy("dictionary_entry_id", "k").agg(F.min("dictionary_entry_parsed_id").alias("kept"), F.count("*").alias("senses")).where("senses > 1")
+    return skew.attach(k, g, ["dictionary_entry_id", "k"], "senses").where("dictionary_entry_parsed_id <> kept").select("dictionary_entry_id", "kept", F.col("dictionary_entry_parsed_id").alias("dropped"))
+
+
 QUERIES["stream_canonical_words"] = incremental.canonical_words_once

@@ -335,3 +335,11 @@ SELECT doc_id, n::INT AS words, s::INT AS sentences, round((206.835::DOUBLE - 1.
 SQL["stream_canonical_words"] = f"""
 WITH w AS (SELECT {_SANITIZED} AS normalized_word FROM {ENTRIES}) SELECT normalized_word, count(*) AS entries FROM w
 WHERE NOT {_blank('normalized_word')} AND NOT contains(normalized_word, ' ') AND NOT contains(normalized_word, '''') GROUP BY normalized_word"""
+
+_CAPITAL = f"CASE WHEN NOT {_blank('domain')} THEN upper(substring({_squeeze('domain')}, 1, 1)) || lower(substring({_squeeze('domain')}, 2)) END"
+SQL["format_labels"] = f"SELECT DISTINCT dictionary_entry_parsed_id, {_CAPITAL} AS domain, CASE WHEN NOT {_blank('usage_label')} THEN lower({_squeeze('usage_label')}) END AS usage_label FROM dictionary_entry_parsed"
+SQL["format_etymology"] = f"SELECT DISTINCT dictionary_entry_id, CASE WHEN NOT {_blank('etymology')} THEN {_squeeze('regexp_replace(' + _trim('etymology') + r", '^\[(.*)\]$', '\1')")} END AS value FROM dictionary_entry"
+SQL["duplicate_senses"] = r"""
+WITH k AS (SELECT DISTINCT dictionary_entry_id, dictionary_entry_parsed_id, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(definition), '[^\p{L}\p{N}]+'), lambda w: w <> ''))), ' ') AS k FROM dictionary_entry_parsed),
+m AS (SELECT *, min(dictionary_entry_parsed_id) OVER (PARTITION BY dictionary_entry_id, k) AS kept FROM k WHERE k <> '')
+SELECT dictionary_entry_id, kept, dictionary_entry_parsed_id AS dropped FROM m WHERE dictionary_entry_parsed_id <> kept"""

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.functions import language, speech, text
+from glossmill.functions import display, language, speech, text
 
 
 def value(spark, f, x, kind="string"):
@@ -42,3 +42,14 @@ def test_priority_and_headword(spark):
     assert [x[0] for x in r] == [440, 500]
     d = spark.createDataFrame([("Oak a tree", "oak"), ("Oakwood", "oak"), ("x", None)], "d string, h string").select(text.clean_definition(F.col("d"), F.col("h"))).collect()
     assert [x[0] for x in d][:2] == ["a tree", "Oakwood"]
+
+
+def test_display(spark):
+    assert value(spark, display.roman, "MCMXCIV") == 1994 and value(spark, display.roman, "IIX") is None and value(spark, display.roman, None) is None
+    assert value(spark, display.expanded, "esp. a fig. use, viz.") == "especially a figurative use, namely"
+    assert value(spark, display.numbers_in_words, "2 of 12, not 3.5 or 20") == "two of twelve, not 3.5 or 20"
+    assert value(spark, display.etymology, "[ from x ]") == "from x" and value(spark, display.domain_label, " lAW ") == "Law"
+    assert value(spark, display.example, "it is so") == "“It is so.”"
+    p = spark.createDataFrame([("see a@b.co or 5kg iPhone x",)], "t string").select(display.protected(F.col("t")).alias("p"))
+    r = p.select("p.text", "p.tokens", display.restored(F.upper("p.text"), F.col("p.tokens")).alias("back")).first()
+    assert r.text == "see ⟦PT000001⟧ or ⟦PT000002⟧ ⟦PT000003⟧ x" and r.back == "SEE a@b.co OR 5kg iPhone X"
