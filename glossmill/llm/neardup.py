@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.formatdup import parts_key
 from glossmill.llm.normalize import consistent_col
+from glossmill.operators.graph import components
+from glossmill.operators.skew import attach
 from glossmill.session import cut
 
 THRESHOLD = 0.7
@@ -214,12 +216,17 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int = BU
     return both.withColumn("i", common_words).where(F.col("i") / (F.size("wa") + F.size("wb") - F.col("i")) >= threshold).select("a", "b")
 
 
-def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id_a, id_b): the pairs of definitions of at least that similarity that aren't copies, each once, id_a < id_b."""
+def _linked(parsed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, set_id, copy_key) of each definition and the links (a, b) between sets; a set's id is its least definition."""
     rows = cut(word_sets(parsed, "definition", "dictionary_entry_parsed_id"))
     sets = cut(rows.groupBy("set_key").agg(F.min("id").alias("set_id"), F.any_value("words").alias("words")))
-    links = similar_sets(sets.select("set_id", "words"), threshold)
     members = cut(rows.select("id", "set_key", "copy_key").join(sets.select("set_key", "set_id"), "set_key").select("id", "set_id", "copy_key"))
+    return members, similar_sets(sets.select("set_id", "words"), threshold)
+
+
+def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(id_a, id_b): the pairs of definitions of at least that similarity that aren't copies, each once, id_a < id_b."""
+    members, links = _linked(parsed, threshold)
     # Classes of copies within a set are paired first, then expanded; members of one class never meet.
     classes = members.groupBy("set_id", "copy_key").agg(F.min("id").alias("class_id"))
     side = lambda c: classes.select(F.col("set_id").alias(c), F.col("copy_key").alias(f"k{c}"), F.col("class_id").alias(f"c{c}"))
@@ -230,3 +237,16 @@ def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     who = members.join(classes, ["set_id", "copy_key"]).select("class_id", "id")
     out = pairs.join(who.select(F.col("class_id").alias("ca"), F.col("id").alias("x")), "ca").join(who.select(F.col("class_id").alias("cb"), F.col("id").alias("y")), "cb")
     return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+
+
+def groups(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(dictionary_entry_parsed_id, group_id, members): the definitions that belong together by chains of links.
+
+    Copies and definitions of one word set belong together too. group_id is the least id of the group; definitions that
+    belong to no other have no row.
+    """
+    members, links = _linked(parsed, threshold)
+    joined = components(links).select(F.col("id").alias("s"), "component")
+    at = members.join(joined, F.col("set_id") == F.col("s"), "left").select("id", F.coalesce("component", "set_id").alias("group_id"))
+    size = at.groupBy("group_id").agg(F.count("*").alias("members")).where("members > 1")
+    return attach(at, size, ["group_id"], "members").select(F.col("id").alias("dictionary_entry_parsed_id"), "group_id", "members")
