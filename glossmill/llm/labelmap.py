@@ -38,6 +38,7 @@ MEMO = 100_000
 
 _WORD = re.compile(r"[^\W_]+")
 _BEFORE = re.compile(r"^(?:esp\.?|especially|chiefly|mainly|mostly|usu\.?|usually|term of|in|field\s*:)\s+", re.I)
+_OUTSIDE = re.compile(r"^\W+")
 _AFTER = re.compile(r"(?:,\s*etc\.?|\((?:hist|esp|chiefly|rare|old)\.?\))\s*$", re.I)
 
 
@@ -92,7 +93,7 @@ class BKTree:
 
 def letters(value: str) -> str:
     """The letters by which a value is compared."""
-    v = _AFTER.sub("", _BEFORE.sub("", consistent(value).strip().lower()))
+    v = _BEFORE.sub("", _OUTSIDE.sub("", _AFTER.sub("", consistent(value).strip().lower())))
     if v.count(",") == 1:
         b, a = v.split(",")
         if _WORD.search(a) and _WORD.search(b):

@@ -5,10 +5,11 @@ rounds into a random one, in round t + b into bin b, so that every coordinate is
 a coordinate keeps the element of the earliest round and least hash. Two sets agree in a coordinate with their
 similarity as probability. Sets that agree in a whole band are candidates; candidates are verified on the whole sets.
 
-Words that occur in less than RARE of all sets are thrown as two elements. That only steers which pairs become
-candidates: template words shared by very many sets weigh less. Verification counts every word once.
+A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 8e-4 at 0.7, 3e-6 at 0.75.
 
-A pair of similarity s (weighted) is missed with probability (1 - s**ROWS) ** BANDS: 3e-3 at 0.7, 3e-5 at 0.75.
+Each row of a bucket carries a signature, one bit for each word, and the size of its set. Sets of similarity t differ in
+at most (1 - t) / (1 + t) * (|A| + |B|) words, and their signatures in no more bits, so most candidates that share only
+template words end where they arise, and no similar pair does.
 
 Buckets of more than BUCKET sets are not paired as they are. Their members are grouped again by one word of their
 prefix, then by two words, which loses no pair: sets of similarity t share a word among the |A| - ceil(t |A|) + 1 rarest
@@ -35,9 +36,9 @@ from glossmill.session import cut
 
 THRESHOLD = 0.7
 ROWS = 8
-BANDS = 100
-#: A word is rare if it occurs in less than this share of all sets. At most (words a set) / RARE words are not rare.
-RARE = 0.01
+BANDS = 120
+#: Words in at least this share of all sets come last in prefixes. There are at most (words a set) / COMMON of them.
+COMMON = 0.01
 #: Sets in a bucket that are paired at once.
 BUCKET = 64
 
@@ -93,9 +94,30 @@ def word_sets(rows: DataFrame, text: str, row_id: str) -> DataFrame:
     return out.where(F.size("words") > 0).select("id", F.unhex(F.md5(F.array_join(F.col("words").cast("array<string>"), " "))).alias("set_key"), "copy_key", "words").dropDuplicates(["id"])
 
 
-def bucketed(sets: DataFrame, common: set[int], rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """(key, set_id): the bands of each set. sets: set_id, words."""
-    shared = sets.sparkSession.sparkContext.broadcast(np.array(sorted(common), np.int64))
+#: Bits of a signature; the other bits of its 64 hold the size of the set, OPEN for one too large to be told.
+BITS = 56
+OPEN = 255
+
+
+def signatures(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The signature of each of several sets of word hashes."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bits = np.zeros(len(sizes), np.uint64)
+    np.bitwise_or.at(bits, owner, _U(1) << (mix(words.view(np.uint64) + _U(0x51)) % _U(BITS)))
+    return (bits | (np.minimum(sizes, OPEN).astype(np.uint64) << _U(BITS))).view(np.int64)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of those signatures can be so similar."""
+    a, b = a.view(np.uint64), b.view(np.uint64)
+    m, n = (a >> _U(BITS)).astype(np.int64), (b >> _U(BITS)).astype(np.int64)
+    apart = np.bitwise_count((a ^ b) & _U((1 << BITS) - 1))
+    fits = (apart <= (1 - threshold) / (1 + threshold) * (m + n) + 1e-9) & (np.minimum(m, n) >= threshold * np.maximum(m, n) - 1e-9)
+    return fits | (np.maximum(m, n) >= OPEN)
+
+
+def bucketed(sets: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """(key, set_id, sig): the bands of each set. sets: set_id, words."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -104,76 +126,74 @@ def bucketed(sets: DataFrame, common: set[int], rows: int = ROWS, bands: int = B
                 lists = batch.column(1)
                 words = lists.flatten().to_numpy(zero_copy_only=False)
                 sizes = np.diff(lists.offsets.to_numpy())
-                owner = np.repeat(np.arange(len(batch)), sizes)
-                rare = ~np.isin(words, shared.value)
-                h = mix(words.view(np.uint64))
-                e, o = np.concatenate([h, mix(h[rare] ^ _U(0xABCDEF))]), np.concatenate([owner, owner[rare]])
-                keys = band_keys(sketch(e, o, len(batch), rows * bands), rows)
-                ids = np.repeat(batch.column(0).to_numpy(), bands)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["key", "set_id"])
+                keys = band_keys(sketch(mix(words.view(np.uint64)), np.repeat(np.arange(len(batch)), sizes), len(batch), rows * bands), rows)
+                ids, sig = np.repeat(batch.column(0).to_numpy(), bands), np.repeat(signatures(words, sizes), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids), pa.array(sig)], names=["key", "set_id", "sig"])
 
-    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long")
+    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long, sig long")
 
 
-def run_pairs(rows: DataFrame, most: int | None) -> DataFrame:
-    """(a, b, hot) from (key, set_id): the pairs a < b within each key, hot false.
+def run_pairs(rows: DataFrame, most: int | None, threshold: float) -> DataFrame:
+    """(a, b, hot) from (key, set_id, sig): the pairs a < b within each key that may be similar, hot false.
 
     A key with more than `most` sets gives no pairs but its rows, as a = key and b = set_id, hot true; most None: none
     is too large. Rows stream through sorted by key, so no group is held in memory but one of up to `most` sets.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, hot = np.empty(0, np.int64), np.empty(0, np.int64), None
+        key, ids, sig, hot = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), None
 
         def out(a: np.ndarray, b: np.ndarray, mark: bool) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), mark))], names=["a", "b", "hot"])
 
-        def close(k: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def close(k: np.ndarray, x: np.ndarray, g: np.ndarray) -> Iterator[pa.RecordBatch]:
             if most is not None and len(k):
                 start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
                 sizes = np.diff(np.r_[start, len(k)])
                 big = np.repeat(sizes > most, sizes)
                 if big.any():
                     yield out(k[big], x[big], True)
-                    k, x = k[~big], x[~big]
+                    k, x, g = k[~big], x[~big], g[~big]
             for s in range(1, len(k)):
                 same = k[s:] == k[:-s]
                 if not same.any():
                     break
-                a, b = x[:-s][same], x[s:][same]
+                at = np.flatnonzero(same)
+                at = at[may_be_similar(g[at], g[at + s], threshold)]
+                a, b = x[at], x[at + s]
                 a, b = np.minimum(a, b), np.maximum(a, b)
                 yield out(a[a < b], b[a < b], False)
 
         for batch in batches:
-            k, x = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            k, x, g = (batch.column(i).to_numpy() for i in range(3))
             if hot is not None:
                 n = int(np.searchsorted(k, hot, "right"))
                 if n:
                     yield out(k[:n], x[:n], True)
                 if n == len(k):
                     continue
-                k, x, hot = k[n:], x[n:], None
-            key, ids = np.concatenate([key, k]), np.concatenate([ids, x])
+                k, x, g, hot = k[n:], x[n:], g[n:], None
+            key, ids, sig = np.concatenate([key, k]), np.concatenate([ids, x]), np.concatenate([sig, g])
             last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
-            yield from close(key[:last], ids[:last])
-            key, ids = key[last:], ids[last:]
+            yield from close(key[:last], ids[:last], sig[:last])
+            key, ids, sig = key[last:], ids[last:], sig[last:]
             if most is not None and len(key) > max(most, 50_000):
                 hot = key[0]
                 yield out(key, ids, True)
-                key, ids = key[:0], ids[:0]
-        yield from close(key, ids)
+                key, ids, sig = key[:0], ids[:0], sig[:0]
+        yield from close(key, ids, sig)
 
-    return rows.select("key", "set_id").repartition("key").sortWithinPartitions("key").mapInArrow(of, "a long, b long, hot boolean")
+    return rows.select("key", "set_id", "sig").repartition("key").sortWithinPartitions("key").mapInArrow(of, "a long, b long, hot boolean")
 
 
 def prefixed(hot: DataFrame, sets: DataFrame, common: dict[int, int], tokens: int, threshold: float) -> DataFrame:
-    """(key, set_id): the members of hot buckets (a = key, b = set_id), by `tokens` words of the set's prefix."""
+    """(key, set_id, sig): the members of hot buckets (a = key, b = set_id), by `tokens` words of the set's prefix."""
     shared = sets.sparkSession.sparkContext.broadcast(common)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = shared.value
         for batch in batches:
-            keys, ids = [], []
+            keys, ids, sig = [], [], signatures(batch.column(2).flatten().to_numpy(), np.diff(batch.column(2).offsets.to_numpy()))
             for key, i, words in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 need = int(np.ceil(threshold * len(words) - 1e-9))
                 w = sorted(words, key=lambda x: (order.get(x, 0), x))
@@ -188,28 +208,27 @@ def prefixed(hot: DataFrame, sets: DataFrame, common: dict[int, int], tokens: in
                 keys.append(made)
                 ids.append(np.full(len(made), i, np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids))], names=["key", "set_id"])
+                n = [len(k) for k in keys]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids)), pa.array(np.repeat(sig, n))], names=["key", "set_id", "sig"])
 
     joined = hot.select(F.col("a").alias("key"), F.col("b").alias("set_id")).join(sets, "set_id").select("key", "set_id", "words")
-    return joined.mapInArrow(of, "key long, set_id long")
+    return joined.mapInArrow(of, "key long, set_id long, sig long")
 
 
 def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET) -> DataFrame:
     """(a, b): all pairs of sets (a < b) of at least that similarity. sets: set_id, words (distinct hashes, sorted)."""
-    n = sets.count()
-    least = max(2, int(np.ceil(RARE * n)))
-    common = {r[0]: r[1] for r in sets.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= least).collect()}
-    found = cut(run_pairs(bucketed(sets, set(common)), bucket))
+    found = cut(run_pairs(bucketed(sets), bucket, threshold))
     pairs = found.where("NOT hot").select("a", "b")
     hot = found.where("hot")
     if not hot.isEmpty():
-        one = cut(run_pairs(prefixed(hot, sets, common, 1, threshold), bucket))
+        least = max(2, int(np.ceil(COMMON * sets.count())))
+        common = {r[0]: r[1] for r in sets.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= least).collect()}
+        one = cut(run_pairs(prefixed(hot, sets, common, 1, threshold), bucket, threshold))
         pairs = pairs.union(one.where("NOT hot").select("a", "b"))
-        # A key of this round stands for a bucket and a word, so the next asks for two more words of its members.
+        # A key of this round stands for a bucket and a word, so the next asks for two words of its members.
         still = one.where("hot")
         if not still.isEmpty():
-            two = cut(run_pairs(prefixed(still, sets, common, 2, threshold), None))
-            pairs = pairs.union(two.select("a", "b"))
+            pairs = pairs.union(cut(run_pairs(prefixed(still, sets, common, 2, threshold), None, threshold)).select("a", "b"))
     side = lambda c: sets.select(F.col("set_id").alias(c), F.col("words").alias(f"w{c}"))
     both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
     common_words = F.size(F.array_intersect("wa", "wb"))
