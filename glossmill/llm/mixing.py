@@ -17,7 +17,7 @@ or of no source, take no part, nor do null and empty texts. No document is dropp
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ SAMPLE = 4000
 TRUST = 0.98
 STEPS = 16
 ITERATIONS = 25
+#: Scales of a source that one pass of the bisection compares.
+GRID = 32
 #: Sources a mix may list; each has a column of the classifier.
 SOURCES = 1000
 
@@ -116,32 +118,71 @@ def _names(documents: DataFrame, targets: DataFrame) -> list[tuple[str, float, i
     return [(s, listed[s][0] / total, listed[s][1]) for s in got]
 
 
+def _sums(df: DataFrame, partial: Callable[[pa.RecordBatch], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    """The sum over all batches of an array of that small shape; only sums of partitions are shuffled."""
+    n = int(np.prod(shape))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n)
+        for b in batches:
+            total += partial(b).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(total)], names=["i", "x"])
+
+    rows = df.mapInArrow(of, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+    out = np.zeros(n)
+    out[rows["i"].to_numpy()] = rows["x"].to_numpy()
+    return out.reshape(shape)
+
+
+def _columns(b: pa.RecordBatch, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Source numbers, memberships and tokens of a batch of classes (source, member, tokens)."""
+    source = np.array([number[s] for s in b.column(0).to_pylist()], np.int64)
+    return source, b.column(1).flatten().to_numpy().reshape(len(b), len(number)) / STEPS, b.column(2).to_numpy().astype(float)
+
+
+def _rate(source: np.ndarray, member: np.ndarray, start: np.ndarray, cap: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
+    """Rates after projected steps, each along the sum of its sources' steps."""
+    rate = start[source]
+    for step in steps:
+        rate = np.clip(rate - member @ step, 0, cap[source])
+    return rate
+
+
 def fitted(classes: DataFrame, listed: list[tuple[str, float, int]]) -> tuple[DataFrame, np.ndarray]:
-    """classes (source, member, tokens) with each class's rate, and the target tokens of each source.
+    """(source, member, cap, rate) of each class (source, member, tokens), and the target tokens of each source.
 
     Each iteration is one aggregation over the classes: the expected tokens of all sources go to the driver, the step
-    that follows from them goes back as constants.
+    that follows from them goes back.
     """
-    k = len(listed)
+    k, number = len(listed), {s: i for i, (s, _, _) in enumerate(listed)}
     own = {r.source: r.tokens for r in classes.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()}
     have = np.array([own[s] for s, _, _ in listed], float)
     share, cap = np.array([q for _, q, _ in listed]), np.array([c for _, _, c in listed], float)
     target = (have * cap / share).min() * share
-    at = F.create_map(*[x for s, _, _ in listed for x in (F.lit(s), F.lit([y for y, _, _ in listed].index(s)))])
-    per = lambda values: F.array(*[F.lit(float(v)) for v in values])[at[F.col("source")]]
-    out = classes.withColumn("cap", per(cap)).withColumn("rate", per(target / have))
-    expected = lambda j: F.sum(F.col("tokens") * F.col("member")[j] / STEPS * F.col("rate")).alias(f"e{j}")
-    volume = np.array(out.withColumn("rate", F.lit(1.0)).agg(*[expected(j) for j in range(k)]).first(), float)
-    for i in range(ITERATIONS):
-        reached = np.array(out.agg(*[expected(j) for j in range(k)]).first(), float)
-        step = 0.9 * (reached - target) / np.maximum(volume, 1)
-        if np.abs(reached - target).max() < 1e-4 * target.sum():
+    start, steps = target / have, []
+    df = classes.select("source", "member", "tokens")
+
+    def volumes(b: pa.RecordBatch) -> np.ndarray:
+        _, member, tokens = _columns(b, number)
+        return tokens @ member
+
+    def expected(b: pa.RecordBatch) -> np.ndarray:
+        source, member, tokens = _columns(b, number)
+        return (tokens * _rate(source, member, start, cap, steps)) @ member
+
+    volume = np.maximum(_sums(df, volumes, (k,)), 1)
+    for _ in range(ITERATIONS):
+        off = _sums(df, expected, (k,)) - target
+        if np.abs(off).max() < 1e-4 * target.sum():
             break
-        down = sum((F.col("member")[j] / STEPS * F.lit(float(step[j])) for j in range(k)), F.lit(0.0))
-        out = out.withColumn("rate", F.least(F.col("cap"), F.greatest(F.lit(0.0), F.col("rate") - down)))
-        if i % 8 == 7:
-            out = cut(out)
-    return out, target
+        steps.append(0.9 * off / volume)
+
+    def rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            source, member, _ = _columns(b, number)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cap[source]), pa.array(_rate(source, member, start, cap, steps))], names=["source", "member", "cap", "rate"])
+
+    return df.mapInArrow(rates, "source string, member array<int>, cap double, rate double"), target
 
 
 def mixed(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -151,30 +192,31 @@ def mixed(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER)
     if not listed:
         return spark.createDataFrame([], "doc_id long, source string, tokens long, repeats int")
     names = [s for s, _, _ in listed]
+    number = {s: i for i, s in enumerate(names)}
     docs = cut(scored(documents, names, tokenizer))
     classes = cut(docs.groupBy("source", "member").agg(F.sum("tokens").alias("tokens")))
     rates, target = fitted(classes, listed)
-    rates = cut(rates.select("source", "member", "cap", "rate"))
     # (sources x combinations of STEPS steps) rows at most, however many documents there are; few in fact.
-    rated = docs.join(maybe_broadcast(rates), ["source", "member"]).withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40)))
-    wanted = dict(zip(names, target))
-    lo, hi = {s: 0.0 for s in names}, {s: 4.0 for s in names}
-    grid = 32
-
-    def repeats(scale: F.Column) -> F.Column:
-        return F.floor(F.least(F.col("cap"), F.col("rate") * scale) + F.col("u")).cast("int")
-
-    def of(values: dict[str, float]) -> F.Column:
-        return F.create_map(*[x for s in names for x in (F.lit(s), F.lit(values[s]))])[F.col("source")]
+    rated = docs.join(maybe_broadcast(cut(rates)), ["source", "member"])
+    rated = cut(rated.select("doc_id", "source", "tokens", "cap", "rate", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 40)) / F.lit(float(1 << 40))).alias("u")))
+    lo, hi, grid = np.zeros(len(names)), np.full(len(names), 4.0), np.arange(GRID + 1) / GRID
+
+    def reached(b: pa.RecordBatch) -> np.ndarray:
+        source = np.array([number[s] for s in b.column(1).to_pylist()], np.int64)
+        tokens, cap, rate, u = (b.column(i).to_numpy().astype(float)[:, None] for i in (2, 3, 4, 5))
+        scale = lo[source][:, None] + (hi - lo)[source][:, None] * grid
+        out = np.zeros((len(names), GRID + 1))
+        np.add.at(out, source, tokens * np.floor(np.minimum(cap, rate * scale) + u))
+        return out
 
     for _ in range(4):
-        sums = [F.sum(F.col("tokens") * repeats(of(lo) + (of(hi) - of(lo)) * (j / grid))).alias(f"s{j}") for j in range(grid + 1)]
-        for r in rated.groupBy("source").agg(*sums).collect():
-            above = [j for j in range(grid + 1) if r[f"s{j}"] >= wanted[r.source]]
-            j = above[0] if above else grid
-            a, b = lo[r.source], hi[r.source]
-            lo[r.source], hi[r.source] = a + (b - a) * max(0, j - 1) / grid, a + (b - a) * j / grid
-    return rated.withColumn("repeats", repeats(of(hi))).where("repeats > 0").select("doc_id", "source", "tokens", "repeats")
+        enough = _sums(rated, reached, (len(names), GRID + 1)) >= target[:, None]
+        j = np.where(enough.any(axis=1), enough.argmax(axis=1), GRID)
+        width = hi - lo
+        lo, hi = lo + width * grid[np.maximum(j - 1, 0)], lo + width * grid[j]
+    scale = F.create_map(*[x for s, y in zip(names, hi) for x in (F.lit(s), F.lit(float(y)))])[F.col("source")]
+    repeats = F.floor(F.least(F.col("cap"), F.col("rate") * scale) + F.col("u")).cast("int")
+    return rated.withColumn("repeats", repeats).where("repeats > 0").select("doc_id", "source", "tokens", "repeats")
 
 
 def shares(documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
