@@ -28,7 +28,7 @@ def attach(rows: DataFrame, agg: DataFrame, on: list[str], count: str, heavy: in
         marked = F.broadcast(hot)
         return _join(rows, marked, on).unionByName(_join(_join(rows, F.broadcast(hot.select(*on)), on, "left_anti"), cold, on))
     salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    copies = agg.withColumn("_salt", F.explode(F.when(F.col(count) >= heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).cast("long"))
+    copies = agg.withColumn("_salt", F.explode(F.when(F.col(count) >= heavy, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
     salted = _join(salted, hot.select(*on).withColumn("_hot", F.lit(True)), on, "left").withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(F.lit(0)))
     return _join(salted.drop("_hot"), copies, [*on, "_salt"]).drop("_salt")
 

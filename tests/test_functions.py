@@ -17,8 +17,8 @@ def value(spark, f, x, kind="string"):
         (text.synonym_text, " “big  oak”. ", "big oak"), (text.synonym_text, "橡", ""), (text.synonym_text, "[NON_ENGLISH]", ""), (text.synonym_text, "a" * 90, "a" * 80),
         (text.example_sentence, " \"it is  so!!\" ", "It is so."), (text.example_sentence, None, ""), (text.valid_example, "It is an oak.", True), (text.valid_example, "See oak now is.", False), (text.valid_example, None, False),
         (text.reference_target, "[[Oak|Tree]], ", "oak tree"), (text.reference_target, "12", ""), (text.etymology_text, "ab", ""), (text.mode_code, "Legal", "Legal"), (text.mode_code, "legal", "English"),
-        (text.clean_definition, "/ək/ n. a  tree", "a tree"), (text.ocr_normalize, "a ,b(  c )\r\n d", "a, b(c)\nd"), (text.ocr_normalize, None, None),
-        (text.tidy_definition, "n. a tree (big) ; oak", "A tree; oak."), (text.senses, "1. a\n2. b;C", ["a", "b", "C"]), (text.senses, None, []),
+        (text.clean_definition, "/ək/ n. a  tree", "a tree"), (text.ocr_normalize, "a ,b(  c )\r\n d", "a, b(c) d"), (text.ocr_normalize, None, None),
+        (text.tidy_definition, "n. a tree (big) ; oak", "A tree ; oak."), (text.senses, "1. a\n2. b;C", ["a", "b", "C"]), (text.senses, None, []),
         (language.primary_language, "橡树", "zh"), (language.primary_language, "oak 橡", "bilingual"), (language.primary_language, "oak", "en"), (language.primary_language, "/oak/", "ipa"), (language.primary_language, None, "unknown"), (language.primary_language, "ねこ", "ja"), (language.primary_language, "123", "unknown"),
         (language.contains_non_english, "дуб", True), (language.contains_non_english, "oak é", False), (language.contains_non_english, None, False),
         (speech.normalize_ipa, "[[a:b]]", "aːb"), (speech.normalize_ipa, "a", ""), (speech.with_stress, "/ɑbɪ/", "/ˈɑbɪ/"), (speech.with_stress, "/ɑb/", "/ɑb/"), (speech.locale_of_ipa, "kɑːr", "en-UK"), (speech.locale_of_ipa, "bɝd", "en-US"),
