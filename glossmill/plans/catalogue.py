@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from glossmill.functions import display, language, speech, text
 from glossmill.operators import ai, graph, lexicon, references, rewrite, skew, suggest, verify
 from glossmill.plans import oracles
-from glossmill.session import table
+from glossmill.session import spread, table
 from glossmill.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -259,13 +259,17 @@ STOP_WORDS = ("the",)
 @_over(PARSED)
 def rewrite_map_apply(p: DataFrame) -> DataFrame:
     """The definitions that the rules change."""
-    r = rewrite.rewritten(p, "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS))
+    r = rewrite.rewritten(_definitions(p), "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS))
     return r.select("dictionary_entry_parsed_id", "after", F.array_join("rules", ",").alias("rules"))
 
 
 @_over(PARSED)
 def rewrite_hits(p: DataFrame) -> DataFrame:
-    return rewrite.hits(rewrite.rewritten(p, "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS)))
+    return rewrite.hits(rewrite.rewritten(_definitions(p), "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS)))
+
+
+def _definitions(p: DataFrame) -> DataFrame:
+    return spread(p.select("dictionary_entry_parsed_id", "definition"))
 
 
 def _pairs(s: DataFrame) -> DataFrame:
@@ -287,8 +291,9 @@ def rewrite_promote(s: DataFrame, c: DataFrame) -> DataFrame:
 
 @_over(PARSED)
 def rewrite_pipeline(p: DataFrame) -> DataFrame:
-    out = p.select("dictionary_entry_parsed_id", "definition").distinct().withColumn("after", rewrite.pipeline(F.col("definition"), rewrite.ordered(RULES, STOP_WORDS)))
-    return out.where("after <> definition").select("dictionary_entry_parsed_id", "after")
+    after = rewrite.once(rewrite.pipeline(F.col("definition"), rewrite.ordered(RULES, STOP_WORDS))).alias("after")
+    out = _definitions(p).select("dictionary_entry_parsed_id", "definition", after)
+    return out.where("after <> definition").select("dictionary_entry_parsed_id", "after").distinct()
 
 
 # Suggestions and merging of several results.
