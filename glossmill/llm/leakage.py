@@ -3,7 +3,8 @@
 A seed is a mask over SPAN consecutive words; the words at its open positions are hashed, those at its other positions
 are ignored. Equal hashes of an item and a document are hits. Around each hit the two texts are compared along their
 diagonal, which gives the longest run of equal words and the best overlap with substitutions (a match counts 1, a
-substitution -SUBSTITUTION, and the overlap ends where it falls DROP below its best). Any run of SPAN equal words is hit
+substitution -SUBSTITUTION, and an overlap ends where it falls more than DROP below its own peak; of several on one
+diagonal the one of the highest score counts, the first among equals). Any run of SPAN equal words is hit
 by every seed, so no exact leak is missed; an overlap is found if some window of SPAN words has substitutions only at
 positions that one of the seeds ignores.
 
@@ -97,16 +98,18 @@ class Index:
         first = max(lo, diagonal)
         last = min(hi, diagonal + b - a)
         same = flat[first:last] == self.flat[a + first - diagonal : a + last - diagonal]
-        run = longest = score = best = begun = 0
+        run = longest = score = peak = best = begun = 0
         span = (0, 0)
         for n, x in enumerate(same.tolist(), 1):
             run = run + 1 if x else 0
             longest = max(longest, run)
             score += 1 if x else -SUBSTITUTION
-            if score <= 0 or score < best - DROP and begun >= span[0]:
-                score, begun = max(score, 0) if score > 0 else 0, n
-            elif score > best:
-                best, span = score, (begun, n)
+            if score <= 0 or score < peak - DROP:
+                score, peak, begun = 0, 0, n
+            elif score > peak:
+                peak = score
+                if peak > best:
+                    best, span = peak, (begun, n)
         matches = int(same[span[0] : span[1]].sum())
         return longest, matches, span[1] - span[0] - matches
 

@@ -207,6 +207,42 @@ def test_substitutions_are_tolerated(spark):
     assert (r.run, r.matches, r.substitutions) == (11, 22, 2)
 
 
+def test_best_overlap_of_several_on_a_diagonal():
+    def overlap(same):
+        index = leakage.Index([(1, [f"a{k}" for k in range(len(same))])])
+        return index.overlap(np.where(same, np.arange(len(same)), -1), 0, len(same), 0, 0)
+
+    def best(same):
+        top = 0
+        for s in range(len(same)):
+            score = peak = 0
+            for x in same[s:]:
+                score += 1 if x else -leakage.SUBSTITUTION
+                peak = max(peak, score)
+                if score < peak - leakage.DROP:
+                    break
+                top = max(top, score)
+        return top
+
+    first = [1] * 10 + [0] + [1] * 10
+    for rest, want in [([], (10, 20, 1)), ([0] * 3 + [1] * 10, (10, 20, 1)), ([0] * 3 + [1] * 30, (30, 30, 0)), ([0] * 3 + [1] * 11 + [0] + [1] * 11, (11, 22, 1))]:
+        assert overlap(first + rest) == want
+    rnd = random.Random(3)
+    for _ in range(2000):
+        same = [x for _ in range(rnd.randrange(1, 8)) for x in [1] * rnd.randrange(15) + [0] * rnd.randrange(5)]
+        _, matches, substitutions = overlap(same)
+        assert matches - leakage.SUBSTITUTION * substitutions == best(same)
+
+
+def test_overlap_before_another_is_not_lost(spark):
+    w = [f"a{i}" for i in range(34)]
+    t = [x if k not in (10, 21, 22, 23) else "zz" for k, x in enumerate(w)]
+    d = spark.createDataFrame([(1, " ".join(t))], "doc_id long, text string")
+    i = spark.createDataFrame([(1, "s", " ".join(w))], "item_id long, suite string, item_text string")
+    assert [tuple(r) for r in leakage.overlaps(d, i).collect()] == [(1, 1, 10, 20, 1)]
+    assert [tuple(r) for r in leakage.leaked(d, i).collect()] == [(1, "s", 0, 1)]
+
+
 def test_mix_meets_targets(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     docs = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000)).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 2_000_000))
