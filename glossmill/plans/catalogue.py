@@ -299,12 +299,28 @@ def rewrite_pipeline(p: DataFrame) -> DataFrame:
 # Suggestions and merging of several results.
 @_over(PARSED)
 def suggestion_topk(p: DataFrame) -> DataFrame:
-    """For the title words of every fiftieth sense, the best definitions that hold all of them."""
+    """For the first four words of every fiftieth definition, the best definitions that hold all of them.
+
+    Completion of a text that has only begun; suggestion_whole searches by whole texts.
+    """
     d = p.where("definition IS NOT NULL").select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col("definition").alias("text")).dropDuplicates(["doc_id"])
     q = d.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(text.tokens(F.col("text")), 1, 4), " ").alias("text"))
     return suggest.search(d, q)
 
 
+@_over(PARSED)
+def suggestion_whole(p: DataFrame) -> DataFrame:
+    """For every fiftieth sense, the best definitions that hold all words of its whole definition, and the best titles
+    that hold all words of its whole meaning_title, each as a mode of its own. Senses without the text have no rows."""
+
+    def of(mode: str, column: str) -> DataFrame:
+        d = p.where(F.col(column).isNotNull()).select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col(column).alias("text")).dropDuplicates(["doc_id"])
+        q = d.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
+        return suggest.search(d, q).select(F.lit(mode).alias("mode"), "query_id", "rank", "doc_id", "score")
+
+    return of("definition", "definition").unionByName(of("title", "meaning_title"))
+
+
 @_over(SYNONYM)
 def suggestion_safe(s: DataFrame) -> DataFrame:
     return s.select("dictionary_entry_synonym_id", suggest.safe(F.col("synonym_text"), 80).alias("safe")).distinct()

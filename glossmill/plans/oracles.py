@@ -324,6 +324,21 @@ s AS (SELECT q.query_id, p.doc_id, count(*) AS has, round(sum(ln(1 + (n.n - df.d
   FROM q JOIN df USING (term) JOIN post p USING (term), n WHERE p.doc_id <> q.query_id GROUP BY q.query_id, p.doc_id)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN need USING (query_id) WHERE has = need
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 3"""
+
+
+def _whole(mode: str, column: str) -> str:
+    return rf"""
+SELECT * FROM (WITH d AS (SELECT DISTINCT dictionary_entry_parsed_id AS doc_id, list_filter(string_split_regex(lower({column}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM dictionary_entry_parsed WHERE {column} IS NOT NULL),
+x AS (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM d), post AS (SELECT term, doc_id, length, count(*) AS tf FROM x GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
+n AS (SELECT count(*) AS n, avg(length) AS mean FROM (SELECT DISTINCT doc_id, length FROM post)),
+q AS (SELECT doc_id AS query_id, unnest(list_distinct(w)) AS term FROM d WHERE doc_id % 50 = 0), need AS (SELECT query_id, count(*) AS need FROM q GROUP BY query_id),
+s AS (SELECT q.query_id, p.doc_id, count(*) AS has, round(sum(ln(1 + (n.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.length / n.mean))), 6) AS score
+  FROM q JOIN df USING (term) JOIN post p USING (term), n WHERE p.doc_id <> q.query_id GROUP BY q.query_id, p.doc_id)
+SELECT '{mode}' AS mode, query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN need USING (query_id) WHERE has = need
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 3)"""
+
+
+SQL["suggestion_whole"] = f"{_whole('definition', 'definition')} UNION ALL {_whole('title', 'meaning_title')}"
 SQL["ai_consensus"] = f"""SELECT dictionary_entry_parsed_id AS item_id, synonym_text AS answer FROM {SYNONYMS} WHERE NOT {_blank('synonym_text')}
 QUALIFY row_number() OVER (PARTITION BY dictionary_entry_parsed_id ORDER BY length(synonym_text) DESC, dictionary_entry_synonym_id) = 1"""
 SQL["ai_first_success"] = f"""SELECT dictionary_entry_parsed_id AS item_id, synonym_text AS answer FROM {SYNONYMS} WHERE NOT {_blank('synonym_text')}

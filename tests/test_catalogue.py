@@ -42,3 +42,12 @@ def test_empty_tables(spark, sf, tmp_path_factory, name):
         for f in glob.glob(f"{sf}/*.parquet"):
             spark.read.parquet(f).limit(0).withColumn("n", F.lit(1)).withColumn("key", F.lit("x")).coalesce(1).write.parquet(str(at / os.path.basename(f)))
     assert QUERIES[name](spark, str(at)).count() >= 0
+
+
+def test_suggestions_hold_the_whole_text(spark, tmp_path):
+    """A fifth word counts, and titles are searched among titles."""
+    rows = [(50, "to carry over a river", "ferry boat"), (51, "to carry over a hill", "ferry"), (52, "over a river to carry it", "boat by ferry"), (53, "boat ferry", None), (100, None, "river")]
+    spark.createDataFrame(rows, "dictionary_entry_parsed_id long, definition string, meaning_title string").write.parquet(str(tmp_path / "dictionary_entry_parsed.parquet"))
+    hits = {(r.mode, r.query_id, r.doc_id) for r in QUERIES["suggestion_whole"](spark, str(tmp_path)).collect()}
+    assert hits == {("definition", 50, 52), ("title", 50, 52)}
+    assert {(r.query_id, r.doc_id) for r in QUERIES["suggestion_topk"](spark, str(tmp_path)).collect()} == {(50, 51), (50, 52)}
