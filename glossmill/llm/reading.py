@@ -1,20 +1,22 @@
 """Problem 8: the reading level of each document, by a Rasch-style latent difficulty model.
 
 Whether word w occurs in document d is modelled as a rare event of rate m_d * exp(a_w + level_d * b_w), m_d being the
-number of model words of the document: hard words (b > 0) become more frequent with the level, easy ones rarer. As in a
+number of distinct words of the document: hard words (b > 0) become more frequent with the level, easy ones rarer. As in a
 Rasch model there are sufficient statistics, so alternating optimisation needs one pass over the documents a round:
 
 * given the words, a document's level depends on the sum of its words' difficulties and on m_d alone;
 * given the levels, a word's difficulty depends on the mean level of the documents it occurs in and on how m is spread
   over the levels, a histogram of GRID bins.
 
-Model words are those in at least MIN_DOCUMENTS documents and SHARE of all, so there are at most (words a document) /
-SHARE; counts, statistics and levels cover all documents and whole texts. The first levels come from the length of words
-and sentences, which also fixes the sign. Levels are standardised; bands 1 to 5 are cut half-way between the mean levels
-of the bands that readers gave, learned from the rated documents whose hash is even, so the others remain for a test.
-Without ratings, the cuts are the quintiles.
+Words in at least MIN_DOCUMENTS documents and SHARE of all have a difficulty of their own; there are at most (words a
+document) / SHARE of them. All other words are pooled by the number of their documents: those in 1, in 2 or 3, in 4 to 7
+and so on share the difficulty of their class, and each such word of a document counts as one occurrence of the class. So
+every word of every document takes part, whatever the size of the corpus; the classes are looked up by a shuffled join.
+The first levels come from the length of words and sentences, which also fixes the sign. Levels are standardised; bands 1
+to 5 are cut half-way between the mean levels of the bands that readers gave, learned from the rated documents whose hash
+is even, so the others remain for a test. Without ratings, the cuts are the quintiles.
 
-Null texts have no row. A document without a model word gets the level of its surface, so every text has a level.
+Null texts have no row. A document without a word gets the level of its surface, so every text has a level.
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ GRID = np.round(np.arange(-40, 41) / 10, 1)
 _ENDS = re.compile(r"[.!?。！？]+")
 
 
-def _vocabulary(texts: DataFrame, least: int) -> list[str]:
-    """The model words in order. Tasks count documents per word first, so few rows are shuffled."""
+def _counts(texts: DataFrame) -> DataFrame:
+    """(word, n): in how many documents each word occurs. Tasks count first, so few rows are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -57,12 +59,12 @@ def _vocabulary(texts: DataFrame, least: int) -> list[str]:
                     yield flush()
         yield flush()
 
-    got = texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return sorted(r.word for r in got.select("word").collect())
+    return texts.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _encoded(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, items, surface, words): the distinct model words of each document and the level its surface suggests."""
+    """(doc_id, items, surface, words, rare): the distinct words of each document, those of the vocabulary by number and
+    the rest as they are, and the level its surface suggests."""
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,16 +72,31 @@ def _encoded(texts: DataFrame, vocabulary: list[str]) -> DataFrame:
         for whole in batches:
             for at in range(0, len(whole), 1024):
                 b = whole.slice(at, 1024)
-                items, surface, counts = [], [], []
+                items, surface, counts, rare = [], [], [], []
                 for t in b.column(1).to_pylist():
                     ws = words(t)
-                    items.append([i for w in set(ws) if (i := get(w)) is not None])
+                    distinct = set(ws)
+                    items.append([i for w in distinct if (i := get(w)) is not None])
+                    rare.append([w for w in distinct if get(w) is None])
                     counts.append(len(ws))
                     letters = sum(map(len, ws)) / max(1, len(ws))
                     surface.append((letters - 5) / 0.8 + np.log(max(1.0, len(ws) / max(1, len(_ENDS.findall(t)))) / 12) / 0.4 if ws else 0.0)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(items, pa.list_(pa.int32())), pa.array(np.clip(np.array(surface, float) / 2, -4, 4)), pa.array(counts, pa.int32())], names=["doc_id", "items", "surface", "words"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(items, pa.list_(pa.int32())), pa.array(np.clip(np.array(surface, float) / 2, -4, 4)), pa.array(counts, pa.int32()), pa.array(rare, pa.list_(pa.string()))], names=["doc_id", "items", "surface", "words", "rare"])
 
-    return texts.mapInArrow(of, "doc_id long, items array<int>, surface double, words int")
+    return texts.mapInArrow(of, "doc_id long, items array<int>, surface double, words int, rare array<string>")
+
+
+def _pooled(docs: DataFrame, counts: DataFrame, v: int, least: int) -> DataFrame:
+    """(doc_id, items, surface, words): encoded documents whose rare words are items too, v plus the number of their class.
+
+    A rare word is in fewer than `least` documents, so no key of the join on words is hot; a document's classes are no
+    more than its words.
+    """
+    docs = cut(docs.withColumn("row", F.monotonically_increasing_id()))
+    classes = counts.where(F.col("n") < least).select("word", (F.length(F.bin("n")) - 1 + v).cast("int").alias("item"))
+    pooled = docs.select("row", F.explode("rare").alias("word")).join(classes, "word").groupBy("row").agg(F.collect_list("item").alias("pooled"))
+    items = F.when(F.col("pooled").isNull(), F.col("items")).otherwise(F.concat("items", "pooled"))
+    return docs.drop("rare").join(pooled, "row", "left").select("doc_id", items.alias("items"), "surface", "words")
 
 
 class Model:
@@ -102,7 +119,8 @@ class Model:
 
 
 def difficulties(counts: np.ndarray, sums: np.ndarray, volume: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(a, b) of each word from the number of its documents, the sum of their levels and the volume of each grid level.
+    """(a, b) of each word or class from its occurrences, the sum of their levels and the volume of each grid level. A class
+    without occurrences has no rate.
 
     b makes the mean level under volume * exp(b * level) equal to the word's mean level, which a weak prior draws to the
     overall mean; found by bisection for all words at once.
@@ -116,7 +134,7 @@ def difficulties(counts: np.ndarray, sums: np.ndarray, volume: np.ndarray) -> tu
         low = (w * GRID).sum(axis=1) / w.sum(axis=1) < want
         lo, hi = np.where(low, b, lo), np.where(low, hi, b)
     b = (lo + hi) / 2
-    return np.log(np.maximum(counts, 0.5)) - np.log((volume * np.exp(b[:, None] * GRID)).sum(axis=1)), b
+    return np.log(np.maximum(counts, 1e-300)) - np.log((volume * np.exp(b[:, None] * GRID)).sum(axis=1)), b
 
 
 def _with_levels(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -133,7 +151,7 @@ def _with_levels(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def fitted(docs: DataFrame, v: int, rounds: int = ROUNDS) -> Model | None:
-    """The model after alternating optimisation over encoded documents with v model words."""
+    """The model after alternating optimisation over encoded documents with v words and classes."""
     model: Model | None = None
     if not v:
         return None
@@ -171,9 +189,11 @@ def levels(documents: DataFrame, ratings: DataFrame, rounds: int = ROUNDS) -> Da
     """(doc_id, level, band, words): one row for each document with a text."""
     texts = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = texts.count()
-    vocabulary = _vocabulary(texts, max(MIN_DOCUMENTS, int(np.ceil(SHARE * n)))) if n else []
-    docs = cut(_encoded(texts, vocabulary))
-    scored = cut(_with_levels(docs, fitted(docs, len(vocabulary), rounds)))
+    least = max(MIN_DOCUMENTS, int(np.ceil(SHARE * n)))
+    counts = cut(_counts(texts))
+    vocabulary = sorted(r.word for r in counts.where(F.col("n") >= least).select("word").collect())
+    docs = cut(_pooled(_encoded(texts, vocabulary), counts, len(vocabulary), least))
+    scored = cut(_with_levels(docs, fitted(docs, len(vocabulary) + (least - 1).bit_length(), rounds)))
     means = {r.grade_band: r.level for r in rated(scored, ratings).where("learned").groupBy("grade_band").agg(F.avg("level").alias("level")).collect()}
     if len(means) == 5 and sorted(means.values()) == [means[k] for k in sorted(means)]:
         cuts = [(means[k] + means[k + 1]) / 2 for k in range(1, 5)]

@@ -283,6 +283,22 @@ def test_reading_levels_of_odd_texts(spark):
     assert reading.levels(docs.limit(0), none).count() == 0
 
 
+def test_rare_words_count_for_the_level(spark):
+    """Documents alike in their common words and surface, of which some hold rare words of long-worded documents."""
+    texts = spark.createDataFrame([(k, f"the cat sat on {w} mat") for k, w in enumerate(["a", "a", "zyx", "zyx", "wvu"] + ["a"] * 20)], "doc_id long, text string")
+    counts = reading._counts(texts)
+    assert {r.word: r.n for r in counts.collect() if r.n < 25} == {"a": 22, "zyx": 2, "wvu": 1}
+    known = ["a", "cat", "mat", "on", "sat", "the"]
+    docs = {r.doc_id: sorted(r["items"]) for r in reading._pooled(reading._encoded(texts, known), counts, 6, 20).collect()}
+    assert docs[0] == [0, 1, 2, 3, 4, 5] and docs[2] == docs[3] == [1, 2, 3, 4, 5, 7] and docs[4] == [1, 2, 3, 4, 5, 6] and len(docs) == 25
+    none = spark.createDataFrame([], "doc_id long, rater_id int, grade_band int")
+    plain = [(k, "the cat sat on the mat") for k in range(60)]
+    hard = [(100 + k, f"the cat sat on extraordinarily{k} incomprehensible{k} mat") for k in range(60)]
+    same = [(200, "the cat sat on qqq rrr mat"), (201, "the cat sat on the the mat")]
+    level = {r.doc_id: r.level for r in reading.levels(spark.createDataFrame(plain + hard + same, "doc_id long, text string"), none).collect()}
+    assert level[200] > level[201]
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_runs(spark, sf, name):
     df = queries.QUERIES[name](spark, sf)
