@@ -5,18 +5,26 @@ rounds into a random one, in round t + b into bin b, so that every coordinate is
 a coordinate keeps the element of the earliest round and least hash. Two sets agree in a coordinate with their
 similarity as probability. Sets that agree in a whole band are candidates; candidates are verified on the whole sets.
 
-A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 8e-4 at 0.7, 3e-6 at 0.75.
+A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 6e-4 at 0.7, 2e-5 at 0.75.
 
-Each row of a bucket carries a signature, one bit for each word, and the size of its set. Sets of similarity t differ in
-at most (1 - t) / (1 + t) * (|A| + |B|) words, and their signatures in no more bits, so most candidates that share only
-template words end where they arise, and no similar pair does.
+Each row of a bucket carries a signature: the parity of the set's words in each of BITS classes, and the size of the
+set. Sets of similarity t differ in at most (1 - t) / (1 + t) * (|A| + |B|) words, and their signatures in no more bits,
+so most candidates that share only template words end where they arise, and no similar pair does.
 
-Buckets of more than BUCKET sets are not paired as they are. Their members are grouped again by one word of their
-prefix, then by two words, which loses no pair: sets of similarity t share a word among the |A| - ceil(t |A|) + 1 rarest
-(in any common order). Definitions with one word set are sketched once, and copies are grouped before they are paired,
-so a group of copies may hold a third of all rows.
+Buckets of more than BUCKET sets are not paired as they are but split, which loses no pair:
 
-Null definitions and those without a word belong to no pair. Repeated deliveries of an id count once.
+1. by one word of the sets' prefixes. In a common order of the words, frequent ones last, a similar pair shares a word
+   that is among the first |A| - ceil(t |A|) + 1 of the larger set A and among the first |B| - ceil(2t / (1 + t) |B|) + 1
+   of the smaller one B; so a word that all sets of a template have, but late, pairs none of them;
+2. those that are still too large, by two words of prefixes that are longer by one;
+3. those that are too large even then, by blocks of ids: each block meets each other one in a task of its own. Such sets
+   have a band and two rare words in common, so nearly all of their pairs are results.
+
+Definitions with one word set are sketched once, and copies are grouped before they are paired, so a group of copies may
+hold a third of all rows.
+
+Null definitions and those without a word belong to no pair. Repeated deliveries of an id count once; if an id came with
+different texts, the one of the least hash counts.
 """
 
 from __future__ import annotations
@@ -28,19 +36,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.formatdup import parts_key
+from glossmill.llm.formatdup import LABELLED, parts_key
 from glossmill.llm.normalize import consistent_col
 from glossmill.operators.graph import components
 from glossmill.operators.skew import attach
-from glossmill.session import cut
+from glossmill.session import cut, maybe_broadcast
 
 THRESHOLD = 0.7
-ROWS = 8
-BANDS = 120
-#: Words in at least this share of all sets come last in prefixes. There are at most (words a set) / COMMON of them.
-COMMON = 0.01
+ROWS = 5
+BANDS = 40
+#: Words in at least this share of the sets of large buckets come last in prefixes; there are at most (words a set) / COMMON of them.
+COMMON = 0.002
 #: Sets in a bucket that are paired at once.
-BUCKET = 64
+BUCKET = 512
+#: Sets in a block of a bucket that words do not split.
+BLOCK = 2048
+#: Sets that are sketched at once.
+SLICE = 2048
 
 _U = np.uint64
 
@@ -86,32 +98,41 @@ def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     return mix((s * odd).sum(axis=2, dtype=np.uint64) + band).view(np.int64)
 
 
+#: The columns of a word set: two hashes of the whole set, and of the definition's letters as copies are told by.
+SET = ("s1", "s2")
+
+
 def word_sets(rows: DataFrame, text: str, row_id: str) -> DataFrame:
-    """(id, set_key, copy_key, words): the distinct words of each text as sorted 64-bit hashes, each id once."""
-    form = rows.where(F.col(text).isNotNull()).select(F.col(row_id).cast("long").alias("id"), consistent_col(F.col(text)).alias("form"))
+    """(id, s1, s2, copy_key, words): the distinct words of each text as sorted 64-bit hashes, and keys of set and letters."""
+    form = rows.where(F.col(text).isNotNull() & F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("id"), consistent_col(F.col(text)).alias("form")).where(F.col("form").rlike(r"[\p{L}\p{N}]"))
     found = F.filter(F.split(F.lower("form"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    out = form.select("id", F.unhex(F.md5(parts_key(F.col("form")))).alias("copy_key"), F.array_sort(F.array_distinct(F.transform(found, lambda w: F.xxhash64(w)))).alias("words"))
-    return out.where(F.size("words") > 0).select("id", F.unhex(F.md5(F.array_join(F.col("words").cast("array<string>"), " "))).alias("set_key"), "copy_key", "words").dropDuplicates(["id"])
+    # The letters of a text are its words written together; only labelled definitions are read again.
+    out = form.select("id", found.alias("found"), F.when(F.col("form").rlike(LABELLED), parts_key(F.col("form"))).alias("parts"))
+    out = out.select("id", F.unhex(F.md5(F.coalesce("parts", F.array_join("found", "")))).alias("copy_key"), F.array_sort(F.array_distinct(F.transform("found", lambda w: F.xxhash64(w)))).alias("words"))
+    return out.select("id", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), "copy_key", "words")
 
 
-#: Bits of a signature; the other bits of its 64 hold the size of the set, OPEN for one too large to be told.
-BITS = 56
+#: Bits of a signature's parities; the 8 bits above hold the size of the set, OPEN for one too large to be told.
+BITS = 24
 OPEN = 255
 
 
 def signatures(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The signature of each of several sets of word hashes."""
+    """The signature (int32) of each of several sets of word hashes."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    bits = np.zeros(len(sizes), np.uint64)
-    np.bitwise_or.at(bits, owner, _U(1) << (mix(words.view(np.uint64) + _U(0x51)) % _U(BITS)))
-    return (bits | (np.minimum(sizes, OPEN).astype(np.uint64) << _U(BITS))).view(np.int64)
+    bits = np.zeros(len(sizes), np.uint32)
+    np.bitwise_xor.at(bits, owner, np.uint32(1) << (mix(words.view(np.uint64) + _U(0x51)) % _U(BITS)).astype(np.uint32))
+    return (bits | (np.minimum(sizes, OPEN).astype(np.uint32) << np.uint32(BITS))).view(np.int32)
+
+
+def sizes_of(sig: np.ndarray) -> np.ndarray:
+    return (sig.view(np.uint32) >> np.uint32(BITS)).astype(np.int64)
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Whether sets of those signatures can be so similar."""
-    a, b = a.view(np.uint64), b.view(np.uint64)
-    m, n = (a >> _U(BITS)).astype(np.int64), (b >> _U(BITS)).astype(np.int64)
-    apart = np.bitwise_count((a ^ b) & _U((1 << BITS) - 1))
+    m, n = sizes_of(a), sizes_of(b)
+    apart = np.bitwise_count((a ^ b).view(np.uint32) & np.uint32((1 << BITS) - 1))
     fits = (apart <= (1 - threshold) / (1 + threshold) * (m + n) + 1e-9) & (np.minimum(m, n) >= threshold * np.maximum(m, n) - 1e-9)
     return fits | (np.maximum(m, n) >= OPEN)
 
@@ -121,8 +142,8 @@ def bucketed(sets: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, len(whole), 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, len(whole), SLICE):
+                batch = whole.slice(at, SLICE)
                 lists = batch.column(1)
                 words = lists.flatten().to_numpy(zero_copy_only=False)
                 sizes = np.diff(lists.offsets.to_numpy())
@@ -130,142 +151,230 @@ def bucketed(sets: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame
                 ids, sig = np.repeat(batch.column(0).to_numpy(), bands), np.repeat(signatures(words, sizes), bands)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids), pa.array(sig)], names=["key", "set_id", "sig"])
 
-    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long, sig long")
+    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long, sig int")
+
+
+#: Roles of a row in a bucket: its word is in the short prefix, too; and of two blocks, which one it is of.
+SHORT, LEFT, RIGHT = 1, 2, 4
+ANY = SHORT | LEFT | RIGHT
 
 
 def run_pairs(rows: DataFrame, most: int | None, threshold: float) -> DataFrame:
-    """(a, b, hot) from (key, set_id, sig): the pairs a < b within each key that may be similar, hot false.
+    """(a, b, hot) from (key, set_id, sig) and perhaps role: the pairs a < b of each key that may be similar, hot false.
 
     A key with more than `most` sets gives no pairs but its rows, as a = key and b = set_id, hot true; most None: none
     is too large. Rows stream through sorted by key, so no group is held in memory but one of up to `most` sets.
+    With roles, the smaller set of a pair must be SHORT, and the two must be of different blocks or of a block that is
+    both LEFT and RIGHT.
     """
+    columns = ["key", "set_id", "sig", *(["role"] if "role" in rows.columns else [])]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, sig, hot = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), None
+        held: list[np.ndarray] | None = None
+        hot = None
 
         def out(a: np.ndarray, b: np.ndarray, mark: bool) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), mark))], names=["a", "b", "hot"])
 
-        def close(k: np.ndarray, x: np.ndarray, g: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if most is not None and len(k):
-                start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-                sizes = np.diff(np.r_[start, len(k)])
-                big = np.repeat(sizes > most, sizes)
-                if big.any():
-                    yield out(k[big], x[big], True)
-                    k, x, g = k[~big], x[~big], g[~big]
+        def close(k: np.ndarray, x: np.ndarray, g: np.ndarray, r: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
+            size = np.diff(np.r_[start, len(k)])
+            if most is not None and len(k) and (big := np.repeat(size > most, size)).any():
+                yield out(k[big], x[big], True)
+            left = np.repeat(start + size, size) - np.arange(len(k))
+            at = np.flatnonzero((left > 1) & (np.repeat(size <= most, size) if most is not None else True))
             for s in range(1, len(k)):
-                same = k[s:] == k[:-s]
-                if not same.any():
+                at = at[left[at] > s]
+                if not len(at):
                     break
-                at = np.flatnonzero(same)
-                at = at[may_be_similar(g[at], g[at + s], threshold)]
-                a, b = x[at], x[at + s]
+                ok = at[may_be_similar(g[at], g[at + s], threshold)]
+                if r is not None:
+                    m, n = sizes_of(g[ok]), sizes_of(g[ok + s])
+                    first = (m < n) | ((m == n) & (x[ok] < x[ok + s]))
+                    # Sizes that are not told may be in either order.
+                    open_ = (m == OPEN) & (n == OPEN)
+                    short = np.where(first, r[ok], r[ok + s]) | np.where(open_, r[ok] | r[ok + s], 0)
+                    apart = ((r[ok] & LEFT) > 0) & ((r[ok + s] & RIGHT) > 0) | ((r[ok] & RIGHT) > 0) & ((r[ok + s] & LEFT) > 0)
+                    ok = ok[((short & SHORT) > 0) & apart]
+                a, b = x[ok], x[ok + s]
                 a, b = np.minimum(a, b), np.maximum(a, b)
-                yield out(a[a < b], b[a < b], False)
+                if (differ := a < b).any():
+                    yield out(a[differ], b[differ], False)
 
         for batch in batches:
-            k, x, g = (batch.column(i).to_numpy() for i in range(3))
+            new = [batch.column(i).to_numpy() for i in range(len(columns))]
             if hot is not None:
-                n = int(np.searchsorted(k, hot, "right"))
+                n = int(np.searchsorted(new[0], hot, "right"))
                 if n:
-                    yield out(k[:n], x[:n], True)
-                if n == len(k):
+                    yield out(new[0][:n], new[1][:n], True)
+                if n == len(new[0]):
                     continue
-                k, x, g, hot = k[n:], x[n:], g[n:], None
-            key, ids, sig = np.concatenate([key, k]), np.concatenate([ids, x]), np.concatenate([sig, g])
-            last = int(np.searchsorted(key, key[-1], "left")) if len(key) else 0
-            yield from close(key[:last], ids[:last], sig[:last])
-            key, ids, sig = key[last:], ids[last:], sig[last:]
-            if most is not None and len(key) > max(most, 50_000):
-                hot = key[0]
-                yield out(key, ids, True)
-                key, ids, sig = key[:0], ids[:0], sig[:0]
-        yield from close(key, ids, sig)
+                new, hot = [c[n:] for c in new], None
+            held = new if held is None else [np.concatenate(c) for c in zip(held, new)]
+            last = int(np.searchsorted(held[0], held[0][-1], "left")) if len(held[0]) else 0
+            yield from close(*[c[:last] for c in held])
+            held = [c[last:] for c in held]
+            if most is not None and len(held[0]) > max(most, 50_000):
+                hot = held[0][0]
+                yield out(held[0], held[1], True)
+                held = [c[:0] for c in held]
+        if held is not None:
+            yield from close(*held)
 
-    return rows.select("key", "set_id", "sig").repartition("key").sortWithinPartitions("key").mapInArrow(of, "a long, b long, hot boolean")
+    return rows.select(*columns).repartition("key").sortWithinPartitions("key").mapInArrow(of, "a long, b long, hot boolean")
 
 
-def prefixed(hot: DataFrame, sets: DataFrame, common: dict[int, int], tokens: int, threshold: float) -> DataFrame:
-    """(key, set_id, sig): the members of hot buckets (a = key, b = set_id), by `tokens` words of the set's prefix."""
-    shared = sets.sparkSession.sparkContext.broadcast(common)
+def prefixed(hot: DataFrame, order: dict[int, int], tokens: int, threshold: float) -> DataFrame:
+    """(key, set_id, sig, role): members (key, set_id, words) of hot buckets by one or two words of their prefixes."""
+    shared = hot.sparkSession.sparkContext.broadcast(order)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = shared.value
+        rank = shared.value
         for batch in batches:
-            keys, ids, sig = [], [], signatures(batch.column(2).flatten().to_numpy(), np.diff(batch.column(2).offsets.to_numpy()))
-            for key, i, words in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                need = int(np.ceil(threshold * len(words) - 1e-9))
-                w = sorted(words, key=lambda x: (order.get(x, 0), x))
-                w = mix(np.array(w[: len(w) - max(need, 1) + min(tokens, need)], np.int64).view(np.uint64))
-                if tokens == 1 or need < 2:
-                    made = [mix(w + key)]
-                    if tokens > 1:  # sets that need share one word only
-                        made = [mix(w + key + _U(7))]
+            keys, roles, sig = [], [], signatures(batch.column(2).flatten().to_numpy(), np.diff(batch.column(2).offsets.to_numpy()))
+            for key, words in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(2).to_pylist()):
+                n = len(words)
+                long = n - int(np.ceil(threshold * n - 1e-9)) + 1
+                short = n - int(np.ceil(2 * threshold / (1 + threshold) * n - 1e-9)) + 1
+                w = np.array(sorted(words, key=lambda x: (rank.get(x, 0), x)), np.int64)
+                w = mix(w.view(np.uint64))
+                one = mix(w[:long] + key + _U(7)), np.where(np.arange(min(long, n)) < short, ANY, ANY - SHORT)
+                if tokens == 1:
+                    made = [one]
                 else:
-                    made = [mix(w[j + 1 :] + mix(w[j : j + 1]) + key) for j in range(len(w) - 1)]
-                made = np.concatenate(made).view(np.int64)
-                keys.append(made)
-                ids.append(np.full(len(made), i, np.int64))
+                    w = w[: long + 1]
+                    i, j = np.triu_indices(len(w), 1)
+                    made = [(mix(w[j] + mix(w[i]) + key), np.where(j < short + 1, ANY, ANY - SHORT))]
+                    if threshold * n <= 1:  # such small sets may be similar by one word
+                        made.append(one)
+                keys.append(np.concatenate([k for k, _ in made]).view(np.int64))
+                roles.append(np.concatenate([r for _, r in made]).astype(np.int32))
             if keys:
                 n = [len(k) for k in keys]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(ids)), pa.array(np.repeat(sig, n))], names=["key", "set_id", "sig"])
+                ids = np.repeat(batch.column(1).to_numpy(), n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids), pa.array(np.repeat(sig, n)), pa.array(np.concatenate(roles))], names=["key", "set_id", "sig", "role"])
 
-    joined = hot.select(F.col("a").alias("key"), F.col("b").alias("set_id")).join(sets, "set_id").select("key", "set_id", "words")
-    return joined.mapInArrow(of, "key long, set_id long, sig long")
+    return hot.select("key", "set_id", "words").mapInArrow(of, "key long, set_id long, sig int, role int")
 
 
-def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET) -> DataFrame:
+def blocked(hot: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(key, set_id, sig, role): members (key, set_id) of hot buckets in pairs of blocks of about `block` sets."""
+    hot = cut(hot)
+    n = hot.groupBy("key").agg(F.count("*").alias("n"))
+    many = attach(hot, n, ["key"], "n").join(sets, "set_id").withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
+    mine = F.pmod(F.xxhash64("set_id", F.lit(5)), F.col("blocks")).cast("int")
+    met = many.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
+    role = F.when(F.col("mine") == F.col("other"), ANY).when(F.col("mine") < F.col("other"), SHORT | LEFT).otherwise(SHORT | RIGHT)
+    met = met.select(key.alias("key"), "set_id", "words", role.cast("int").alias("role"))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sig = signatures(b.column(2).flatten().to_numpy(), np.diff(b.column(2).offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig), b.column(3)], names=["key", "set_id", "sig", "role"])
+
+    return met.mapInArrow(of, "key long, set_id long, sig int, role int")
+
+
+def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int | None = None, block: int | None = None) -> DataFrame:
     """(a, b): all pairs of sets (a < b) of at least that similarity. sets: set_id, words (distinct hashes, sorted)."""
+    bucket, block = bucket or BUCKET, block or BLOCK
     found = cut(run_pairs(bucketed(sets), bucket, threshold))
-    pairs = found.where("NOT hot").select("a", "b")
-    hot = found.where("hot")
+    parts, hot = [found.where("NOT hot")], found.where("hot")
+    with_words = lambda df: df.select(F.col("a").alias("key"), F.col("b").alias("set_id")).join(sets, "set_id").select("key", "set_id", "words")
     if not hot.isEmpty():
-        least = max(2, int(np.ceil(COMMON * sets.count())))
-        common = {r[0]: r[1] for r in sets.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= least).collect()}
-        one = cut(run_pairs(prefixed(hot, sets, common, 1, threshold), bucket, threshold))
-        pairs = pairs.union(one.where("NOT hot").select("a", "b"))
-        # A key of this round stands for a bucket and a word, so the next asks for two words of its members.
-        still = one.where("hot")
-        if not still.isEmpty():
-            pairs = pairs.union(cut(run_pairs(prefixed(still, sets, common, 2, threshold), None, threshold)).select("a", "b"))
-    side = lambda c: sets.select(F.col("set_id").alias(c), F.col("words").alias(f"w{c}"))
-    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+        members = cut(with_words(hot))
+        least = max(2, int(np.ceil(COMMON * members.count())))
+        order = {r[0]: r[1] for r in members.select(F.explode("words").alias("w")).groupBy("w").count().where(F.col("count") >= least).collect()}
+        for tokens in (1, 2):
+            one = cut(run_pairs(prefixed(members, order, tokens, threshold), bucket, threshold))
+            parts.append(one.where("NOT hot"))
+            hot = one.where("hot")
+            if hot.isEmpty():
+                break
+            # A key of a round stands for a bucket and its words, so the next one asks for one word more of its members.
+            members = cut(with_words(hot)) if tokens == 1 else members
+        else:
+            parts.append(run_pairs(blocked(hot.select(F.col("a").alias("key"), F.col("b").alias("set_id")).distinct(), sets, block), None, threshold))
+    pairs = parts[0].select("a", "b")
+    for p in parts[1:]:
+        pairs = pairs.union(p.select("a", "b"))
+    pairs = cut(pairs.distinct())
+    # Only sets that are in a candidate take part in the verification.
+    named = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    involved = cut(sets.join(maybe_broadcast(named), "set_id", "left_semi"))
+    side = lambda c: involved.select(F.col("set_id").alias(c), F.col("words").alias(f"w{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     common_words = F.size(F.array_intersect("wa", "wb"))
-    return both.withColumn("i", common_words).where(F.col("i") / (F.size("wa") + F.size("wb") - F.col("i")) >= threshold).select("a", "b")
+    return both.withColumn("i", common_words).where(F.col("i") / (F.size("wa") + F.size("wb") - F.col("i")) >= threshold).select("a", "b").distinct()
 
 
 def _linked(parsed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, set_id, copy_key) of each definition and the links (a, b) between sets; a set's id is its least definition."""
+    """(id, set_id, copy_key) of each definition and the links (a, b) between sets; a set's id is its least definition.
+
+    The words are neither grouped nor joined: the rows whose definition does not stand for its set are taken out by key.
+    """
     rows = cut(word_sets(parsed, "definition", "dictionary_entry_parsed_id"))
-    sets = cut(rows.groupBy("set_key").agg(F.min("id").alias("set_id"), F.any_value("words").alias("words")))
-    members = cut(rows.select("id", "set_key", "copy_key").join(sets.select("set_key", "set_id"), "set_key").select("id", "set_id", "copy_key"))
-    return members, similar_sets(sets.select("set_id", "words"), threshold)
+    one = rows.groupBy("id").agg(F.min(F.struct(*SET, "copy_key")).alias("m")).select("id", *[F.col(f"m.{c}").alias(c) for c in (*SET, "copy_key")])
+    one = cut(one)
+    sets = cut(one.groupBy(*SET).agg(F.min("id").alias("set_id"), F.count("*").alias("n")))
+    members = cut(attach(one, sets, list(SET), "n").select("id", "set_id", "copy_key"))
+    other = rows.select("id", *SET).join(sets.select(F.col("set_id").alias("id"), *SET), ["id", *SET], "left_anti").distinct()
+    alone = rows.join(maybe_broadcast(cut(other)), ["id", *SET], "left_anti").select(F.col("id").alias("set_id"), "words")
+    return members, similar_sets(alone, threshold)
 
 
-def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id_a, id_b): the pairs of definitions of at least that similarity that aren't copies, each once, id_a < id_b."""
-    members, links = _linked(parsed, threshold)
-    # Classes of copies within a set are paired first, then expanded; members of one class never meet.
-    classes = members.groupBy("set_id", "copy_key").agg(F.min("id").alias("class_id"))
-    side = lambda c: classes.select(F.col("set_id").alias(c), F.col("copy_key").alias(f"k{c}"), F.col("class_id").alias(f"c{c}"))
+def _classes(members: DataFrame) -> DataFrame:
+    """(set_id, copy_key, class_id, n): the groups of copies and how many definitions each has; its id is the least one."""
+    return cut(members.groupBy("set_id", "copy_key").agg(F.min("id").alias("class_id"), F.count("*").alias("n")))
+
+
+def _class_pairs(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(ca, na, cb, nb): the pairs of classes whose sets are similar or the same, each once."""
+    side = lambda c: classes.select(F.col("set_id").alias(c), F.col("copy_key").alias(f"k{c}"), F.col("class_id").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
     across = links.join(side("a"), "a").join(side("b"), "b").where("ka <> kb")
     several = classes.groupBy("set_id").count().where("count > 1").select("set_id")
     inside = side("a").join(several, F.col("a") == F.col("set_id"), "left_semi").join(side("b"), F.col("a") == F.col("b")).where("ka < kb")
-    pairs = across.select("ca", "cb").union(inside.select("ca", "cb"))
-    who = members.join(classes, ["set_id", "copy_key"]).select("class_id", "id")
-    out = pairs.join(who.select(F.col("class_id").alias("ca"), F.col("id").alias("x")), "ca").join(who.select(F.col("class_id").alias("cb"), F.col("id").alias("y")), "cb")
+    return across.select("ca", "na", "cb", "nb").union(inside.select("ca", "na", "cb", "nb"))
+
+
+def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(id_a, id_b): the pairs of definitions of at least that similarity that aren't copies, each once, id_a < id_b."""
+    members, links = _linked(parsed, threshold)
+    classes = _classes(members)
+    pairs = cut(_class_pairs(classes, links))
+    # A class of one definition bears its id; others are expanded, without bringing a large class to one task.
+    single = pairs.where("na = 1 AND nb = 1").select(F.col("ca").alias("x"), F.col("cb").alias("y"))
+    who = attach(members, classes.where("n > 1"), ["set_id", "copy_key"], "n").select("class_id", F.col("id").alias("one"))
+    grown = pairs.where("na > 1 OR nb > 1")
+    for c, n in (("ca", "na"), ("cb", "nb")):
+        more = attach(who, grown.where(f"{n} > 1").withColumnRenamed(c, "class_id"), ["class_id"], n).withColumn(c, F.col("one")).drop("class_id", "one")
+        grown = grown.where(f"{n} = 1").unionByName(more.select(*grown.columns))
+    out = single.union(grown.select("ca", "cb"))
     return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
+def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(dictionary_entry_parsed_id, class_id, links): each definition with a word, its group of copies, and how many other
+    groups are similar to that one. class_id is the least id of the group."""
+    members, linked = _linked(parsed, threshold)
+    classes = _classes(members)
+    pairs = _class_pairs(classes, linked)
+    n = pairs.select(F.explode(F.array("ca", "cb")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    counted = classes.join(n, "class_id", "left").select("set_id", "copy_key", "class_id", "n", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    return attach(members, counted, ["set_id", "copy_key"], "n").select(F.col("id").alias("dictionary_entry_parsed_id"), "class_id", "links")
+
+
 def groups(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(dictionary_entry_parsed_id, group_id, members): the definitions that belong together by chains of links.
 
     Copies and definitions of one word set belong together too. group_id is the least id of the group; definitions that
     belong to no other have no row.
     """
-    members, links = _linked(parsed, threshold)
-    joined = components(links).select(F.col("id").alias("s"), "component")
-    at = members.join(joined, F.col("set_id") == F.col("s"), "left").select("id", F.coalesce("component", "set_id").alias("group_id"))
-    size = at.groupBy("group_id").agg(F.count("*").alias("members")).where("members > 1")
-    return attach(at, size, ["group_id"], "members").select(F.col("id").alias("dictionary_entry_parsed_id"), "group_id", "members")
+    members, linked = _linked(parsed, threshold)
+    joined = components(linked).select(F.col("id").alias("set_id"), "component")
+    sets = members.groupBy("set_id").agg(F.count("*").alias("n")).join(joined, "set_id", "left").select("set_id", "n", F.coalesce("component", "set_id").alias("group_id"))
+    sets = cut(sets)
+    size = sets.groupBy("group_id").agg(F.sum("n").alias("members")).where("members > 1")
+    grouped = sets.join(size, "group_id")
+    return attach(members, grouped, ["set_id"], "n").select(F.col("id").alias("dictionary_entry_parsed_id"), "group_id", "members")

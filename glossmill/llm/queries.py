@@ -39,6 +39,7 @@ def _levels(op: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": lambda spark, d: neardup.found(_table(spark, d, "dictionary_entry_parsed")),
+    "p1_links": lambda spark, d: neardup.links(_table(spark, d, "dictionary_entry_parsed")),
     "p1_groups": lambda spark, d: neardup.groups(_table(spark, d, "dictionary_entry_parsed")),
     "p3_found": _lexicon(normalize.found),
     "p3_forms": _lexicon(lambda p, s: normalize.forms(p, s).select("field", "row_id", "form").distinct()),

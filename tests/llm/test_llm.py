@@ -124,15 +124,14 @@ def pairs_by_force(rows, threshold=neardup.THRESHOLD):
     return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if sets[a][1] != sets[b][1] and len(sets[a][0] & sets[b][0]) / len(sets[a][0] | sets[b][0]) >= threshold}
 
 
-@pytest.mark.parametrize("bucket", [64, 2])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket):
+@pytest.mark.parametrize(("bucket", "block"), [(512, 2048), (2, 3)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket, block):
     rnd = random.Random(bucket)
     template = ["the plural form of the noun called " + w for w in (f"w{i}" for i in range(40))]
     texts = edited(rnd, [f"v{i}" for i in range(300)] + ["of", "the"], 60) + template + ["", "--", None, "word", "word!", "a b", "b a", "x " * 3000]
     rows = list(enumerate(texts)) + [(3, texts[3])]
-    if bucket == 2:
-        monkeypatch.setattr(neardup, "BUCKET", 2)
-        monkeypatch.setattr(neardup.similar_sets, "__defaults__", (neardup.THRESHOLD, 2))
+    monkeypatch.setattr(neardup, "BUCKET", bucket)
+    monkeypatch.setattr(neardup, "BLOCK", block)
     want = pairs_by_force(rows)
     got = [tuple(r) for r in neardup.found(parsed(spark, rows)).collect()]
     assert len(got) == len(set(got)) and set(got) <= want
@@ -140,6 +139,28 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, bucket):
     assert len(want) > 500
 
 
+@pytest.mark.parametrize("round", ["one word", "two words", "blocks"])
+def test_splitting_a_bucket_loses_no_pair(spark, round):
+    """All sets in one bucket: each way of splitting it finds every similar pair by itself."""
+    rnd = random.Random(9)
+    sets = {i: sorted(rnd.sample(range(30), rnd.randrange(1, 14)) if i % 3 else rnd.sample(range(12), rnd.randrange(1, 12))) for i in range(250)}
+    for threshold in (0.7, 0.5):
+        want = {(a, b) for a, b in itertools.combinations(sets, 2) if len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) >= threshold and sets[a] != sets[b]}
+        s = spark.createDataFrame(list(sets.items()), "set_id long, words array<long>")
+        hot = s.withColumn("key", F.lit(7).cast("long"))
+        made = neardup.blocked(hot.select("key", "set_id"), s, 20) if round == "blocks" else neardup.prefixed(hot, {w: 30 - w for w in range(8)}, 1 if round == "one word" else 2, threshold)
+        got = {(r.a, r.b) for r in neardup.run_pairs(made, None, threshold).collect()}
+        assert len(want) > 50 and want <= got
+        assert len(got) < 250 * 249 / 2
+
+
+def test_links_count_similar_groups(spark):
+    rows = [(1, "a b c d e f g h i j"), (2, "A b, c d e f g h i j!"), (3, "a b c d e f g h i k"), (4, "b a c d e f g h i j"), (5, "x y"), (6, None), (7, "-")]
+    got = {r.dictionary_entry_parsed_id: (r.class_id, r.links) for r in neardup.links(parsed(spark, rows)).collect()}
+    assert got == {1: (1, 2), 2: (1, 2), 3: (3, 2), 4: (4, 2), 5: (5, 0)}
+    assert {r.dictionary_entry_parsed_id: (r.group_id, r.members) for r in neardup.groups(parsed(spark, rows)).collect()} == {i: (1, 4) for i in (1, 2, 3, 4)}
+
+
 def test_signatures_never_part_similar_sets():
     rnd = np.random.default_rng(2)
     for _ in range(300):
