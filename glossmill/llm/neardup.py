@@ -113,26 +113,26 @@ def word_sets(rows: DataFrame, text: str, row_id: str) -> DataFrame:
 
 
 #: Bits of a signature's parities; the 8 bits above hold the size of the set, OPEN for one too large to be told.
-BITS = 24
+BITS = 40
 OPEN = 255
 
 
 def signatures(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The signature (int32) of each of several sets of word hashes."""
+    """The signature of each of several sets of word hashes."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    bits = np.zeros(len(sizes), np.uint32)
-    np.bitwise_xor.at(bits, owner, np.uint32(1) << (mix(words.view(np.uint64) + _U(0x51)) % _U(BITS)).astype(np.uint32))
-    return (bits | (np.minimum(sizes, OPEN).astype(np.uint32) << np.uint32(BITS))).view(np.int32)
+    bits = np.zeros(len(sizes), np.uint64)
+    np.bitwise_xor.at(bits, owner, _U(1) << (mix(words.view(np.uint64) + _U(0x51)) % _U(BITS)))
+    return (bits | (np.minimum(sizes, OPEN).astype(np.uint64) << _U(BITS))).view(np.int64)
 
 
 def sizes_of(sig: np.ndarray) -> np.ndarray:
-    return (sig.view(np.uint32) >> np.uint32(BITS)).astype(np.int64)
+    return sig >> BITS
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Whether sets of those signatures can be so similar."""
     m, n = sizes_of(a), sizes_of(b)
-    apart = np.bitwise_count((a ^ b).view(np.uint32) & np.uint32((1 << BITS) - 1))
+    apart = np.bitwise_count((a ^ b).view(np.uint64) & _U((1 << BITS) - 1))
     fits = (apart <= (1 - threshold) / (1 + threshold) * (m + n) + 1e-9) & (np.minimum(m, n) >= threshold * np.maximum(m, n) - 1e-9)
     return fits | (np.maximum(m, n) >= OPEN)
 
@@ -151,7 +151,7 @@ def bucketed(sets: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame
                 ids, sig = np.repeat(batch.column(0).to_numpy(), bands), np.repeat(signatures(words, sizes), bands)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids), pa.array(sig)], names=["key", "set_id", "sig"])
 
-    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long, sig int")
+    return sets.select("set_id", "words").mapInArrow(of, "key long, set_id long, sig long")
 
 
 #: Roles of a row in a bucket: its word is in the short prefix, too; and of two blocks, which one it is of.
@@ -254,7 +254,7 @@ def prefixed(hot: DataFrame, order: dict[int, int], tokens: int, threshold: floa
                 ids = np.repeat(batch.column(1).to_numpy(), n)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids), pa.array(np.repeat(sig, n)), pa.array(np.concatenate(roles))], names=["key", "set_id", "sig", "role"])
 
-    return hot.select("key", "set_id", "words").mapInArrow(of, "key long, set_id long, sig int, role int")
+    return hot.select("key", "set_id", "words").mapInArrow(of, "key long, set_id long, sig long, role int")
 
 
 def blocked(hot: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -273,7 +273,7 @@ def blocked(hot: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
             sig = signatures(b.column(2).flatten().to_numpy(), np.diff(b.column(2).offsets.to_numpy()))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sig), b.column(3)], names=["key", "set_id", "sig", "role"])
 
-    return met.mapInArrow(of, "key long, set_id long, sig int, role int")
+    return met.mapInArrow(of, "key long, set_id long, sig long, role int")
 
 
 def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int | None = None, block: int | None = None) -> DataFrame:

@@ -135,9 +135,15 @@ def _consistent_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 _consistent_udf = _consistent_udf.asNondeterministic()
 
 
+def suspicious_col(text: Column) -> Column:
+    """Whether a text has a suspicious character. The pattern is long, so it sees only what isn't plain ASCII."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, text.rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")).otherwise(F.regexp_replace(text, r"[\x20-\x7e]+", "").rlike(SUSPICIOUS))
+
+
 def consistent_col(text: Column) -> Column:
     """The consistent form as a Column. Only texts with a suspicious character are sent to Python."""
-    return F.coalesce(_consistent_udf(F.when(text.rlike(SUSPICIOUS), text)), text)
+    return F.coalesce(_consistent_udf(F.when(suspicious_col(text), text)), text)
 
 
 def letters_col(form: Column) -> Column:

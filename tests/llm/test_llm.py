@@ -41,6 +41,13 @@ def test_ordinary_pattern_never_hides_a_change():
         normalize._SUSPICIOUS = free
 
 
+def test_suspicious_column_is_the_pattern(spark):
+    chars = [chr(o) for o in itertools.chain(range(0x2100), range(0x3000, 0x3100), range(0x4DFF, 0x4E02), range(0xF900, 0x10000), range(0x1D400, 0x1D404)) if not 0xD800 <= o < 0xE000]
+    rows = spark.createDataFrame([(f"a{c}b",) for c in chars] + [(f"é{c} – x",) for c in chars] + [("",), (None,)], "t string")
+    for t, got in rows.select("t", normalize.suspicious_col(F.col("t"))).collect():
+        assert got == (None if t is None else bool(normalize._SUSPICIOUS.search(t))), repr(t)
+
+
 def test_p3_rows(spark):
     p = parsed(spark, [(1, "ok"), (2, "a​"), (2, "a​"), (3, None), (4, "")])
     s = spark.createDataFrame([(9, 1, "ﬁ", "S"), (8, 1, None, "S")], "dictionary_entry_synonym_id long, dictionary_entry_parsed_id long, synonym_text string, source_code string")
@@ -228,42 +235,77 @@ def test_substitutions_are_tolerated(spark):
     assert (r.run, r.matches, r.substitutions) == (11, 22, 2)
 
 
+def best_by_force(same):
+    """(score, -begin, end) of the best stretch that never falls below 0 or too far below its peak, and begins anew after that."""
+    best, begin = (0, 0, 0), 0
+    while begin < len(same):
+        score = peak = 0
+        for n in range(begin, len(same)):
+            score += 1 if same[n] else -1
+            if score < 0 or score < peak - leakage.DROP:
+                break
+            peak = max(peak, score)
+            if same[n] and score == peak:
+                best = max(best, (score, -begin, n + 1))
+        else:
+            break
+        begin = n + 1
+    return best
+
+
 def test_best_overlap_of_several_on_a_diagonal():
     def overlap(same):
         index = leakage.Index([(1, [f"a{k}" for k in range(len(same))])])
         return index.overlap(np.where(same, np.arange(len(same)), -1), 0, len(same), 0, 0)
 
-    def best(same):
-        top = 0
-        for s in range(len(same)):
-            score = peak = 0
-            for x in same[s:]:
-                score += 1 if x else -leakage.SUBSTITUTION
-                peak = max(peak, score)
-                if score < peak - leakage.DROP:
-                    break
-                top = max(top, score)
-        return top
-
     first = [1] * 10 + [0] + [1] * 10
-    for rest, want in [([], (10, 20, 1)), ([0] * 3 + [1] * 10, (10, 20, 1)), ([0] * 3 + [1] * 30, (30, 30, 0)), ([0] * 3 + [1] * 11 + [0] + [1] * 11, (11, 22, 1))]:
+    for rest, want in [([], (10, 20, 1)), ([0] * 5 + [1] * 10, (10, 20, 1)), ([0] * 5 + [1] * 30, (30, 30, 0)), ([0] * 5 + [1] * 11 + [0] + [1] * 11, (11, 22, 1)), ([0] * 3 + [1] * 10, (10, 30, 4))]:
         assert overlap(first + rest) == want
     rnd = random.Random(3)
     for _ in range(2000):
-        same = [x for _ in range(rnd.randrange(1, 8)) for x in [1] * rnd.randrange(15) + [0] * rnd.randrange(5)]
-        _, matches, substitutions = overlap(same)
-        assert matches - leakage.SUBSTITUTION * substitutions == best(same)
+        same = [x for _ in range(rnd.randrange(1, 8)) for x in [1] * rnd.randrange(15) + [0] * rnd.randrange(7)]
+        if same:
+            _, matches, substitutions = overlap(same)
+            score, begin, end = best_by_force(same)
+            assert (matches, substitutions) == (sum(same[-begin:end]), end + begin - sum(same[-begin:end]))
 
 
 def test_overlap_before_another_is_not_lost(spark):
-    w = [f"a{i}" for i in range(34)]
-    t = [x if k not in (10, 21, 22, 23) else "zz" for k, x in enumerate(w)]
+    w = [f"a{i}" for i in range(36)]
+    t = [x if k not in (10, 21, 22, 23, 24, 25) else "zz" for k, x in enumerate(w)]
     d = spark.createDataFrame([(1, " ".join(t))], "doc_id long, text string")
     i = spark.createDataFrame([(1, "s", " ".join(w))], "item_id long, suite string, item_text string")
     assert [tuple(r) for r in leakage.overlaps(d, i).collect()] == [(1, 1, 10, 20, 1)]
     assert [tuple(r) for r in leakage.leaked(d, i).collect()] == [(1, "s", 0, 1)]
 
 
+@pytest.mark.parametrize(("words", "rate", "least"), [(16, 0.1, 0.95), (24, 0.1, 0.95), (40, 0.1, 0.95), (16, 0.2, 0.85), (24, 0.2, 0.85), (40, 0.2, 0.9), (60, "sixth", 1.0)])
+def test_recall_of_substituted_overlaps(words, rate, least):
+    """Random overlaps of at least SPAN equal words without a run of SPAN, each within other words on both sides."""
+    rnd = random.Random(words)
+    found = 0
+    for _ in range(300):
+        while True:
+            same = [k % 6 != 5 for k in range(words)] if rate == "sixth" else [rnd.random() >= rate for _ in range(words)]
+            if sum(same) >= leakage.SPAN and "1" * leakage.SPAN not in "".join(map(str, map(int, same))):
+                break
+        item = [f"i{k}" for k in range(words + 40)]
+        index = leakage.Index([(9, item)])
+        text = ["x"] * 30 + [w if x else "y" for w, x in zip(item[20:], same)] + ["x"] * 30
+        flat = np.array([index.vocabulary.get(w, -1) for w in text])
+        rows = [index.overlap(flat, 0, len(flat), i, diagonal) for _, i, diagonal in index.hits(flat, np.zeros(len(flat), np.int64))]
+        found += any(r[0] >= leakage.SPAN or r[1] >= max(leakage.SPAN, 2 * r[2]) for r in rows)
+    assert found >= least * 300
+
+
+def test_hits_of_a_template_in_all_items_come_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "STEP", 50)
+    common = " ".join(f"t{k}" for k in range(15))
+    items = spark.createDataFrame([(i, "s", f"{common} own{i}") for i in range(40)], "item_id long, suite string, item_text string")
+    docs = spark.createDataFrame([(d, f"begin {common} {common} end{d}") for d in range(5)] + [(9, "t1 t2")], "doc_id long, text string")
+    assert {tuple(r) for r in leakage.found(docs, items).collect()} == {(d, i) for d in range(5) for i in range(40)}
+
+
 def test_mix_meets_targets(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     docs = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1_000_000)).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 2_000_000))
