@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glossmill.session import small
+
+#: Most rows of a table that is broadcast whole.
+ATTACH_ROWS = 200_000
 #: A key is heavy from so many rows; heavy keys are at most total / HEAVY and are broadcast when few.
 HEAVY = 100_000
 #: Most heavy keys that are broadcast; the rest take the salted way.
@@ -14,22 +18,23 @@ SALTS = 32
 
 
 def attach(rows: DataFrame, agg: DataFrame, on: list[str], count: str, heavy: int = HEAVY) -> DataFrame:
-    """Inner join of rows with agg, an aggregate by `on` whose column `count` says how many rows each key has.
+    """Inner join of rows with agg, a table by `on` whose column `count` says how many rows each key has.
 
-    Heavy keys go through a broadcast of those keys only, or, beyond HEAVY_KEYS of them, through a join on a salted
-    key; the others are shuffled. Keys with nulls are compared as equal. Empty inputs give an empty result.
+    A small agg is broadcast whole. Else heavy keys go through a broadcast of those keys only, or, where those are too
+    many or too large, through a join on a salted key; the others are shuffled. Keys with nulls are compared as equal.
+    Empty inputs give an empty result. agg is read several times, so it should be a table.
     """
+    if small(agg, ATTACH_ROWS):
+        return _join(rows, F.broadcast(agg), on)
     hot = agg.where(F.col(count) >= heavy)
-    n_hot = hot.limit(HEAVY_KEYS + 1).count()
-    if n_hot == 0:
+    if hot.isEmpty():
         return _join(rows, agg, on)
     cold = agg.where(F.col(count) < heavy)
-    if n_hot <= HEAVY_KEYS:
-        marked = F.broadcast(hot)
-        return _join(rows, marked, on).unionByName(_join(_join(rows, F.broadcast(hot.select(*on)), on, "left_anti"), cold, on))
+    if small(hot, HEAVY_KEYS):
+        return _join(rows, F.broadcast(hot), on).unionByName(_join(_join(rows, F.broadcast(hot.select(*on)), on, "left_anti"), cold, on))
     salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = agg.withColumn("_salt", F.explode(F.when(F.col(count) >= heavy, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
-    salted = _join(salted, hot.select(*on).withColumn("_hot", F.lit(True)), on, "left").withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(F.lit(0)))
+    salted = _join(salted, hot.select(*on).distinct().withColumn("_hot", F.lit(True)), on, "left").withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(F.lit(0)))
     return _join(salted.drop("_hot"), copies, [*on, "_salt"]).drop("_salt")
 
 

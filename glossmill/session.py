@@ -5,11 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a narrow table (a few numbers or short strings a row) may be broadcast. Callers count first.
+#: Rows and bytes of values up to which a table may be broadcast. Both are measured first.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 
 
 def local_session(cpus: int | str = 8, memory: str = "8g", shuffle_partitions: int = 8) -> SparkSession:
@@ -57,14 +59,30 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most so many rows. Reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column's value in a row, about."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+        return F.greatest(F.size(c), F.lit(0)) * 8 + 8
+    if isinstance(field.dataType, T.ArrayType | T.StructType | T.MapType):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+    return F.lit(8)
 
 
-def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and bytes. Reads no more than it must."""
+    width = F.lit(0)
+    for f in df.schema.fields:
+        width = width + _width(f)
+    n, held = df.limit(rows + 1).agg(F.count("*"), F.sum(width.cast("long"))).first()
+    return n <= rows and (held or 0) <= size
+
+
+def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if it is small, else as it is, for a shuffled join."""
-    return F.broadcast(df) if small(df, rows) else df
+    return F.broadcast(df) if small(df, rows, size) else df
 
 
 def ship(spark: SparkSession) -> None:

@@ -11,8 +11,9 @@ def test_attach_equals_join_for_heavy_and_light_keys(spark, monkeypatch):
     rows = spark.createDataFrame([(i, None if i % 7 == 0 else ("hot" if i % 3 else f"k{i % 11}")) for i in range(300)], "id int, k string")
     agg = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("lo"))
     want = {(r.id, r.k, r.lo) for r in skew._join(rows, agg, ["k"]).collect()}
-    for heavy, keys in ((10, 1000), (5, 0), (10_000, 1000)):
+    for heavy, keys, whole in ((10, 1000, 0), (5, 0, 0), (10_000, 1000, 0), (10, 1000, 1000)):
         monkeypatch.setattr(skew, "HEAVY_KEYS", keys)
+        monkeypatch.setattr(skew, "ATTACH_ROWS", whole)
         got = skew.attach(rows, agg, ["k"], "n", heavy)
         assert {(r.id, r.k, r.lo) for r in got.collect()} == want
         assert got.count() == 300
