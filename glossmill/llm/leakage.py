@@ -5,8 +5,8 @@ positions are ignored. Equal hashes of an item and a document are hits. Around e
 their diagonal, which gives the longest run of equal words and the best overlap with substitutions (a match counts 1, a
 substitution -1, and an overlap ends where it falls below 0 or more than DROP below its own peak; of several on one
 diagonal the one of the highest score counts, the first among equals). Any run of SPAN equal words is hit by every seed,
-so no exact leak is missed. An overlap counts with a run of SPAN words, or with SPAN matches of which there are at least
-twice as many as substitutions.
+so no exact leak is missed. An overlap counts with a run of SPAN words; or else with SPAN matches, at most one substitution
+for each RATIO of them, and OWN matches that are not words of a template, which many items have.
 
 The masks were chosen one after the other so that together they hit most random overlaps of 16 to 40 words. Measured
 recall of overlaps with at least SPAN matches and no run of SPAN words (tests/llm/test_llm.py): at 10 % substituted words
@@ -19,6 +19,7 @@ stays bounded and no hit is left out. Null texts and items of fewer than SPAN wo
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,10 @@ SPAN = 12
 #: Masks: x is hashed, - is ignored.
 SEEDS = ("xxx-x-xxxx", "xxxxx--x--xx", "x-x--xxx-xxx", "xxx-xx---xxx", "xx-xxxx-x-x", "x-xxx-xx-xx", "xxx---x-xxxx", "xx--x-xx-xxx")
 DROP = 4
+#: Matches for each substitution of an overlap without a run of SPAN words.
+RATIO = 2
+#: Words in at least this share of the items, and in FEW of them, are those of templates; an overlap needs OWN others.
+COMMON, FEW, OWN = 0.05, 3, 3
 #: Words of items that are broadcast at once.
 BLOCK = 1_000_000
 #: Documents that a task compares at once, and hits that it holds at once.
@@ -47,13 +52,15 @@ _U = np.uint64
 class Index:
     """The seeds of a block of items."""
 
-    def __init__(self, items: list[tuple[int, list[str]]]) -> None:
+    def __init__(self, items: list[tuple[int, list[str]]], common: frozenset[str] = frozenset()) -> None:
         self.vocabulary: dict[str, int] = {}
         ids = [[self.vocabulary.setdefault(w, len(self.vocabulary)) for w in ws] for _, ws in items]
         self.item_ids = np.array([i for i, _ in items], np.int64)
         self.flat = np.array([x for ws in ids for x in ws], np.int64)
         self.start = np.cumsum([0, *map(len, ids)])
         self.owner = np.repeat(np.arange(len(ids)), np.diff(self.start))
+        # Whether a word is an item's own; the last one is that of words no item has.
+        self.own = np.array([w not in common for w in self.vocabulary] + [False], bool)
         # A number for each word; the last one is that of words no item has.
         self.numbers = mix(np.arange(1, len(self.vocabulary) + 2, dtype=np.uint64))
         self.seeds = []
@@ -93,21 +100,25 @@ class Index:
         return [tuple(r) for r in np.unique(np.concatenate(out), axis=0).tolist()] if out else []
 
     def near(self, flat: np.ndarray, doc: np.ndarray, here: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Of hits those with SPAN equal words close by, as the diagonals of hits(). Templates share the words of many a
-        seed, but not that many."""
+        """Of hits those with a run of SPAN equal words close by, or with SPAN equal ones of which OWN are no template's, as
+        the diagonals of hits()."""
         item = self.owner[place]
-        equal = np.zeros(len(here), np.int16)
+        run, longest, equal, own = (np.zeros(len(here), np.int16) for _ in range(4))
         for o in range(-SPAN, 2 * SPAN):
             x, y = here + o, place + o
             inside = (x >= 0) & (x < len(flat)) & (y >= self.start[item]) & (y < self.start[item + 1])
             x, y = np.where(inside, x, 0), np.where(inside, y, 0)
-            equal += inside & (flat[x] == self.flat[y]) & (doc[x] == doc[here])
-        close = equal >= SPAN
+            same = inside & (flat[x] == self.flat[y]) & (doc[x] == doc[here])
+            run = (run + 1) * same
+            longest = np.maximum(longest, run)
+            equal += same
+            own += same & self.own[flat[x]]
+        close = (longest >= SPAN) | ((equal >= SPAN) & (own >= OWN))
         here, place, item = here[close], place[close], item[close]
         return np.unique(np.stack([doc[here], item, here - (place - self.start[item])], axis=1), axis=0)
 
-    def overlap(self, flat: np.ndarray, lo: int, hi: int, item: int, diagonal: int) -> tuple[int, int, int]:
-        """(longest run, matches, substitutions) along a diagonal; lo and hi bound the document in flat."""
+    def overlap(self, flat: np.ndarray, lo: int, hi: int, item: int, diagonal: int) -> tuple[int, int, int, int]:
+        """(longest run, matches, substitutions, matches that are no template's) along a diagonal; lo and hi bound the document in flat."""
         a, b = int(self.start[item]), int(self.start[item + 1])
         first = max(lo, diagonal)
         last = min(hi, diagonal + b - a)
@@ -125,8 +136,14 @@ class Index:
                 peak = score
                 if score > best or (score == best and span[0] == begun):
                     best, span = score, (begun, n)
-        matches = int(same[span[0] : span[1]].sum())
-        return longest, matches, span[1] - span[0] - matches
+        best_part = same[span[0] : span[1]]
+        matches, own = int(best_part.sum()), int((best_part & self.own[flat[first:last][span[0] : span[1]]]).sum())
+        return longest, matches, span[1] - span[0] - matches, own
+
+
+def counts(run: int, matches: int, substitutions: int, own: int) -> bool:
+    """Whether an overlap counts."""
+    return run >= SPAN or (matches >= max(SPAN, RATIO * substitutions) and own >= OWN)
 
 
 def overlaps(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -135,9 +152,11 @@ def overlaps(documents: DataFrame, items: DataFrame) -> DataFrame:
     run: the longest run of equal words; matches and substitutions: those of the best overlap.
     """
     blocks: list[list[tuple[int, list[str]]]] = [[]]
-    held = 0
+    held, n, seen = 0, 0, Counter()
     for r in items.where("item_id IS NOT NULL AND item_text IS NOT NULL").select("item_id", "item_text").distinct().toLocalIterator():
         ws = words(r.item_text)
+        n += 1
+        seen.update(set(ws))
         if len(ws) < SPAN:
             continue
         if held + len(ws) > BLOCK and blocks[-1]:
@@ -145,21 +164,20 @@ def overlaps(documents: DataFrame, items: DataFrame) -> DataFrame:
             held = 0
         blocks[-1].append((r.item_id, ws))
         held += len(ws)
+    common = frozenset(w for w, k in seen.items() if k >= max(FEW, COMMON * n))
     out = None
     for block in blocks:
-        one = _against(documents, block)
+        one = _against(documents, block, common)
         out = one if out is None else out.unionByName(one)
-    if out is None:
-        return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, run int, matches int, substitutions int")
     best = F.max(F.struct("run", "matches", (-F.col("substitutions")).alias("less"))).alias("m")
     return out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.run", "m.matches", (-F.col("m.less")).alias("substitutions"))
 
 
-def _against(documents: DataFrame, block: list[tuple[int, list[str]]]) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(block)
+def _against(documents: DataFrame, block: list[tuple[int, list[str]]], common: frozenset[str]) -> DataFrame:
+    shared = documents.sparkSession.sparkContext.broadcast((block, common))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        index = Index(*shared.value)
         get = index.vocabulary.get
         for whole in batches:
             for at in range(0, len(whole), SLICE):
@@ -168,8 +186,8 @@ def _against(documents: DataFrame, block: list[tuple[int, list[str]]]) -> DataFr
                 ends = np.cumsum([0, *map(len, per)])
                 flat = np.fromiter((x for ws in per for x in ws), np.int64, int(ends[-1]))
                 doc = np.repeat(np.arange(len(per)), np.diff(ends))
-                rows = [(ids[d], int(index.item_ids[i]), *index.overlap(flat, int(ends[d]), int(ends[d + 1]), i, diagonal)) for d, i, diagonal in index.hits(flat, doc)]
-                rows = [r for r in rows if r[2] >= SPAN or r[3] >= max(SPAN, 2 * r[4])]
+                rows = [(d, i, index.overlap(flat, int(ends[d]), int(ends[d + 1]), i, diagonal)) for d, i, diagonal in index.hits(flat, doc)]
+                rows = [(ids[d], int(index.item_ids[i]), *r[:3]) for d, i, r in rows if counts(*r)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "item_id", "run", "matches", "substitutions"])
 

@@ -98,18 +98,20 @@ def band_keys(sketches: np.ndarray, rows: int) -> np.ndarray:
     return mix((s * odd).sum(axis=2, dtype=np.uint64) + band).view(np.int64)
 
 
-#: The columns of a word set: two hashes of the whole set, and of the definition's letters as copies are told by.
+#: Two hashes each, together a key of 128 bits: of a whole word set, and of a definition's letters as copies are told by.
 SET = ("s1", "s2")
+COPY = ("c1", "c2")
 
 
 def word_sets(rows: DataFrame, text: str, row_id: str) -> DataFrame:
-    """(id, s1, s2, copy_key, words): the distinct words of each text as sorted 64-bit hashes, and keys of set and letters."""
+    """(id, s1, s2, c1, c2, words): the distinct words of each text as sorted 64-bit hashes, and keys of set and letters."""
     form = rows.where(F.col(text).isNotNull() & F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("id"), consistent_col(F.col(text)).alias("form")).where(F.col("form").rlike(r"[\p{L}\p{N}]"))
     found = F.filter(F.split(F.lower("form"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     # The letters of a text are its words written together; only labelled definitions are read again.
     out = form.select("id", found.alias("found"), F.when(F.col("form").rlike(LABELLED), parts_key(F.col("form"))).alias("parts"))
-    out = out.select("id", F.unhex(F.md5(F.coalesce("parts", F.array_join("found", "")))).alias("copy_key"), F.array_sort(F.array_distinct(F.transform("found", lambda w: F.xxhash64(w)))).alias("words"))
-    return out.select("id", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(1), "words").alias("s2"), "copy_key", "words")
+    out = out.select("id", F.coalesce("parts", F.array_join("found", "")).alias("letters"), F.array_sort(F.array_distinct(F.transform("found", lambda w: F.xxhash64(w)))).alias("words"))
+    key = lambda c, names: [F.xxhash64(c).alias(names[0]), F.xxhash64(F.lit(1), c).alias(names[1])]
+    return out.select("id", *key("words", SET), *key("letters", COPY), "words")
 
 
 #: Bits of a signature's parities; the 8 bits above hold the size of the set, OPEN for one too large to be told.
@@ -310,31 +312,37 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int | No
 
 
 def _linked(parsed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, set_id, copy_key) of each definition and the links (a, b) between sets; a set's id is its least definition.
+    """The groups of copies as (set_id, c1, c2, set_n, id) of each definition, and the links (a, b) between sets.
 
-    The words are neither grouped nor joined: the rows whose definition does not stand for its set are taken out by key.
+    set_n: how many definitions the set has. The words are neither grouped nor joined: the rows whose definition does not
+    stand for its set are taken out by key.
     """
-    rows = cut(word_sets(parsed, "definition", "dictionary_entry_parsed_id"))
-    one = rows.groupBy("id").agg(F.min(F.struct(*SET, "copy_key")).alias("m")).select("id", *[F.col(f"m.{c}").alias(c) for c in (*SET, "copy_key")])
-    one = cut(one)
-    sets = cut(one.groupBy(*SET).agg(F.min("id").alias("set_id"), F.count("*").alias("n")))
-    members = cut(attach(one, sets, list(SET), "n").select("id", "set_id", "copy_key"))
-    other = rows.select("id", *SET).join(sets.select(F.col("set_id").alias("id"), *SET), ["id", *SET], "left_anti").distinct()
-    alone = rows.join(maybe_broadcast(cut(other)), ["id", *SET], "left_anti").select(F.col("id").alias("set_id"), "words")
-    return members, similar_sets(alone, threshold)
+    rows = cut(word_sets(parsed, "definition", "dictionary_entry_parsed_id").withColumn("t", F.xxhash64(*SET, *COPY)))
+    one = cut(rows.groupBy("id").agg(*[F.min_by(c, "t").alias(c) for c in (*SET, *COPY)], F.min("t").alias("t"), F.max("t").alias("last")))
+    sets = cut(one.groupBy(*SET).agg(F.min("id").alias("set_id"), F.count("*").alias("set_n")))
+    members = cut(attach(one.select("id", *SET, *COPY), sets, list(SET), "set_n").select("id", "set_id", *COPY, "set_n"))
+    alone = rows.join(maybe_broadcast(cut(members.where("id <> set_id").select("id"))), "id", "left_anti")
+    twice = one.where("last <> t").select("id", F.col("t").alias("chosen"))
+    if not twice.isEmpty():
+        alone = alone.join(maybe_broadcast(twice), "id", "left").where("chosen IS NULL OR chosen = t")
+    return members, similar_sets(alone.select(F.col("id").alias("set_id"), "words"), threshold)
 
 
 def _classes(members: DataFrame) -> DataFrame:
-    """(set_id, copy_key, class_id, n): the groups of copies and how many definitions each has; its id is the least one."""
-    return cut(members.groupBy("set_id", "copy_key").agg(F.min("id").alias("class_id"), F.count("*").alias("n")))
+    """(set_id, c1, c2, class_id, n, set_n): the groups of copies and how many definitions each has; its id is the least one."""
+    return cut(members.groupBy("set_id", *COPY).agg(F.min("id").alias("class_id"), F.count("*").alias("n"), F.max("set_n").alias("set_n")))
 
 
 def _class_pairs(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(ca, na, cb, nb): the pairs of classes whose sets are similar or the same, each once."""
-    side = lambda c: classes.select(F.col("set_id").alias(c), F.col("copy_key").alias(f"k{c}"), F.col("class_id").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
-    across = links.join(side("a"), "a").join(side("b"), "b").where("ka <> kb")
-    several = classes.groupBy("set_id").count().where("count > 1").select("set_id")
-    inside = side("a").join(several, F.col("a") == F.col("set_id"), "left_semi").join(side("b"), F.col("a") == F.col("b")).where("ka < kb")
+    links = cut(links)
+    ends = cut(links.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
+    linked = cut(classes.join(maybe_broadcast(ends), "set_id", "left_semi"))
+    side = lambda df, c: df.select(F.col("set_id").alias(c), *[F.col(k).alias(f"{k}{c}") for k in COPY], F.col("class_id").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
+    across = links.join(side(linked, "a"), "a").join(side(linked, "b"), "b").where("c1a <> c1b OR c2a <> c2b")
+    # A class smaller than its set is one of several.
+    several = classes.where("n < set_n")
+    inside = side(several, "a").join(side(several, "b"), F.col("a") == F.col("b")).where("ca < cb")
     return across.select("ca", "na", "cb", "nb").union(inside.select("ca", "na", "cb", "nb"))
 
 
@@ -344,13 +352,17 @@ def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = _classes(members)
     pairs = cut(_class_pairs(classes, links))
     # A class of one definition bears its id; others are expanded, without bringing a large class to one task.
-    single = pairs.where("na = 1 AND nb = 1").select(F.col("ca").alias("x"), F.col("cb").alias("y"))
-    who = attach(members, classes.where("n > 1"), ["set_id", "copy_key"], "n").select("class_id", F.col("id").alias("one"))
+    out = pairs.where("na = 1 AND nb = 1").select(F.col("ca").alias("x"), F.col("cb").alias("y"))
     grown = pairs.where("na > 1 OR nb > 1")
-    for c, n in (("ca", "na"), ("cb", "nb")):
-        more = attach(who, grown.where(f"{n} > 1").withColumnRenamed(c, "class_id"), ["class_id"], n).withColumn(c, F.col("one")).drop("class_id", "one")
-        grown = grown.where(f"{n} = 1").unionByName(more.select(*grown.columns))
-    out = single.union(grown.select("ca", "cb"))
+    if not grown.isEmpty():
+        named = grown.select(F.explode(F.array("ca", "cb")).alias("class_id")).distinct()
+        needed = cut(classes.where("n > 1").join(maybe_broadcast(cut(named)), "class_id", "left_semi").select("set_id", *COPY, "class_id", "n"))
+        who = cut(attach(members, needed, ["set_id", *COPY], "n").select("class_id", F.col("id").alias("one")))
+        for c, n in (("ca", "na"), ("cb", "nb")):
+            many = cut(grown.where(f"{n} > 1").withColumnRenamed(c, "class_id"))
+            more = attach(who, many, ["class_id"], n).withColumn(c, F.col("one")).drop("class_id", "one")
+            grown = grown.where(f"{n} = 1").unionByName(more.select(*grown.columns))
+        out = out.union(grown.select("ca", "cb"))
     return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
@@ -359,10 +371,9 @@ def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     groups are similar to that one. class_id is the least id of the group."""
     members, linked = _linked(parsed, threshold)
     classes = _classes(members)
-    pairs = _class_pairs(classes, linked)
-    n = pairs.select(F.explode(F.array("ca", "cb")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
-    counted = classes.join(n, "class_id", "left").select("set_id", "copy_key", "class_id", "n", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
-    return attach(members, counted, ["set_id", "copy_key"], "n").select(F.col("id").alias("dictionary_entry_parsed_id"), "class_id", "links")
+    n = _class_pairs(classes, linked).select(F.explode(F.array("ca", "cb")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+    counted = cut(classes.join(n, "class_id", "left").select("set_id", *COPY, "class_id", "n", F.coalesce("links", F.lit(0).cast("long")).alias("links")))
+    return attach(members, counted, ["set_id", *COPY], "n").select(F.col("id").alias("dictionary_entry_parsed_id"), "class_id", "links")
 
 
 def groups(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -373,8 +384,8 @@ def groups(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     members, linked = _linked(parsed, threshold)
     joined = components(linked).select(F.col("id").alias("set_id"), "component")
-    sets = members.groupBy("set_id").agg(F.count("*").alias("n")).join(joined, "set_id", "left").select("set_id", "n", F.coalesce("component", "set_id").alias("group_id"))
+    sets = members.select("set_id", "set_n").distinct().join(joined, "set_id", "left").select("set_id", "set_n", F.coalesce("component", "set_id").alias("group_id"))
     sets = cut(sets)
-    size = sets.groupBy("group_id").agg(F.sum("n").alias("members")).where("members > 1")
-    grouped = sets.join(size, "group_id")
-    return attach(members, grouped, ["set_id"], "n").select(F.col("id").alias("dictionary_entry_parsed_id"), "group_id", "members")
+    size = sets.groupBy("group_id").agg(F.sum("set_n").alias("members")).where("members > 1")
+    grouped = cut(sets.join(size, "group_id"))
+    return attach(members.drop("set_n"), grouped, ["set_id"], "set_n").select(F.col("id").alias("dictionary_entry_parsed_id"), "group_id", "members")
