@@ -10,7 +10,7 @@ for each RATIO of them, and OWN matches that are not words of a template, which
 
 The masks were chosen one after the other so that together they hit most random overlaps of 16 to 40 words. Measured
 recall of overlaps with at least SPAN matches and no run of SPAN words (tests/llm/test_llm.py): at 10 % substituted words
-at least 0.95 for 16, 24 and 40 words, at 20 % at least 0.85.
+0.96, 0.98 and 0.99 for 16, 24 and 40 words, at 20 % 0.90, 0.83 and 0.80.
 
 The items are the stated query set: they are broadcast in blocks of at most BLOCK words, each block against all
 documents, whole texts, without a shuffle. A hash that many items share is compared in steps of STEP hits, so memory
@@ -35,7 +35,7 @@ SPAN = 12
 SEEDS = ("xxx-x-xxxx", "xxxxx--x--xx", "x-x--xxx-xxx", "xxx-xx---xxx", "xx-xxxx-x-x", "x-xxx-xx-xx", "xxx---x-xxxx", "xx--x-xx-xxx")
 DROP = 4
 #: Matches for each substitution of an overlap without a run of SPAN words.
-RATIO = 2
+RATIO = 3
 #: Words in at least this share of the items, and in FEW of them, are those of templates; an overlap needs OWN others.
 COMMON, FEW, OWN = 0.05, 3, 3
 #: Words of items that are broadcast at once.

@@ -5,7 +5,7 @@ rounds into a random one, in round t + b into bin b, so that every coordinate is
 a coordinate keeps the element of the earliest round and least hash. Two sets agree in a coordinate with their
 similarity as probability. Sets that agree in a whole band are candidates; candidates are verified on the whole sets.
 
-A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 6e-4 at 0.7, 2e-5 at 0.75.
+A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 5e-4 at 0.7, 2e-5 at 0.75.
 
 Each row of a bucket carries a signature: the parity of the set's words in each of BITS classes, and the size of the
 set. Sets of similarity t differ in at most (1 - t) / (1 + t) * (|A| + |B|) words, and their signatures in no more bits,
@@ -43,12 +43,12 @@ from glossmill.operators.skew import attach
 from glossmill.session import cut, maybe_broadcast
 
 THRESHOLD = 0.7
-ROWS = 5
-BANDS = 40
+ROWS = 4
+BANDS = 28
 #: Words in at least this share of the sets of large buckets come last in prefixes; there are at most (words a set) / COMMON of them.
 COMMON = 0.002
 #: Sets in a bucket that are paired at once.
-BUCKET = 512
+BUCKET = 1024
 #: Sets in a block of a bucket that words do not split.
 BLOCK = 2048
 #: Sets that are sketched at once.
@@ -283,7 +283,7 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int | No
     bucket, block = bucket or BUCKET, block or BLOCK
     found = cut(run_pairs(bucketed(sets), bucket, threshold))
     parts, hot = [found.where("NOT hot")], found.where("hot")
-    with_words = lambda df: df.select(F.col("a").alias("key"), F.col("b").alias("set_id")).join(sets, "set_id").select("key", "set_id", "words")
+    with_words = lambda df: sets.join(maybe_broadcast(df.select(F.col("a").alias("key"), F.col("b").alias("set_id"))), "set_id").select("key", "set_id", "words")
     if not hot.isEmpty():
         members = cut(with_words(hot))
         least = max(2, int(np.ceil(COMMON * members.count())))
@@ -311,21 +311,30 @@ def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int | No
     return both.withColumn("i", common_words).where(F.col("i") / (F.size("wa") + F.size("wb") - F.col("i")) >= threshold).select("a", "b").distinct()
 
 
-def _linked(parsed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """The groups of copies as (set_id, c1, c2, set_n, id) of each definition, and the links (a, b) between sets.
+def _linked(parsed: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each definition's keys (id, s1, s2, c1, c2), the sets (s1, s2, set_id, set_n) and the links (a, b) between sets.
 
-    set_n: how many definitions the set has. The words are neither grouped nor joined: the rows whose definition does not
-    stand for its set are taken out by key.
+    A set's id is that of its least definition; set_n: how many it has. The words are neither grouped nor joined: the rows
+    whose definition does not stand for its set are taken out by key.
     """
     rows = cut(word_sets(parsed, "definition", "dictionary_entry_parsed_id").withColumn("t", F.xxhash64(*SET, *COPY)))
     one = cut(rows.groupBy("id").agg(*[F.min_by(c, "t").alias(c) for c in (*SET, *COPY)], F.min("t").alias("t"), F.max("t").alias("last")))
     sets = cut(one.groupBy(*SET).agg(F.min("id").alias("set_id"), F.count("*").alias("set_n")))
-    members = cut(attach(one.select("id", *SET, *COPY), sets, list(SET), "set_n").select("id", "set_id", *COPY, "set_n"))
-    alone = rows.join(maybe_broadcast(cut(members.where("id <> set_id").select("id"))), "id", "left_anti")
+    others = attach(one.select("id", *SET), cut(sets.where("set_n > 1")), list(SET), "set_n").where("id <> set_id").select("id")
+    alone = rows.join(maybe_broadcast(cut(others)), "id", "left_anti")
     twice = one.where("last <> t").select("id", F.col("t").alias("chosen"))
     if not twice.isEmpty():
         alone = alone.join(maybe_broadcast(twice), "id", "left").where("chosen IS NULL OR chosen = t")
-    return members, similar_sets(alone.select(F.col("id").alias("set_id"), "words"), threshold)
+    return one.select("id", *SET, *COPY), sets, cut(similar_sets(alone.select(F.col("id").alias("set_id"), "words"), threshold))
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    return cut(links.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
+
+
+def _members(one: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, set_id, c1, c2, set_n) of each definition of those sets."""
+    return cut(attach(one, sets, list(SET), "set_n").select("id", "set_id", *COPY, "set_n"))
 
 
 def _classes(members: DataFrame) -> DataFrame:
@@ -335,9 +344,7 @@ def _classes(members: DataFrame) -> DataFrame:
 
 def _class_pairs(classes: DataFrame, links: DataFrame) -> DataFrame:
     """(ca, na, cb, nb): the pairs of classes whose sets are similar or the same, each once."""
-    links = cut(links)
-    ends = cut(links.select(F.explode(F.array("a", "b")).alias("set_id")).distinct())
-    linked = cut(classes.join(maybe_broadcast(ends), "set_id", "left_semi"))
+    linked = cut(classes.join(maybe_broadcast(_ends(links)), "set_id", "left_semi"))
     side = lambda df, c: df.select(F.col("set_id").alias(c), *[F.col(k).alias(f"{k}{c}") for k in COPY], F.col("class_id").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
     across = links.join(side(linked, "a"), "a").join(side(linked, "b"), "b").where("c1a <> c1b OR c2a <> c2b")
     # A class smaller than its set is one of several.
@@ -348,7 +355,10 @@ def _class_pairs(classes: DataFrame, links: DataFrame) -> DataFrame:
 
 def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(id_a, id_b): the pairs of definitions of at least that similarity that aren't copies, each once, id_a < id_b."""
-    members, links = _linked(parsed, threshold)
+    one, sets, links = _linked(parsed, threshold)
+    # Sets of one definition without a link are in no pair.
+    linked = sets.join(maybe_broadcast(_ends(links).withColumn("linked", F.lit(True))), "set_id", "left").where("set_n > 1 OR linked").drop("linked")
+    members = _members(one, cut(linked))
     classes = _classes(members)
     pairs = cut(_class_pairs(classes, links))
     # A class of one definition bears its id; others are expanded, without bringing a large class to one task.
@@ -369,7 +379,8 @@ def found(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def links(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(dictionary_entry_parsed_id, class_id, links): each definition with a word, its group of copies, and how many other
     groups are similar to that one. class_id is the least id of the group."""
-    members, linked = _linked(parsed, threshold)
+    one, sets, linked = _linked(parsed, threshold)
+    members = _members(one, sets)
     classes = _classes(members)
     n = _class_pairs(classes, linked).select(F.explode(F.array("ca", "cb")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
     counted = cut(classes.join(n, "class_id", "left").select("set_id", *COPY, "class_id", "n", F.coalesce("links", F.lit(0).cast("long")).alias("links")))
@@ -382,7 +393,8 @@ def groups(parsed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Copies and definitions of one word set belong together too. group_id is the least id of the group; definitions that
     belong to no other have no row.
     """
-    members, linked = _linked(parsed, threshold)
+    one, sets, linked = _linked(parsed, threshold)
+    members = _members(one, sets)
     joined = components(linked).select(F.col("id").alias("set_id"), "component")
     sets = members.select("set_id", "set_n").distinct().join(joined, "set_id", "left").select("set_id", "set_n", F.coalesce("component", "set_id").alias("group_id"))
     sets = cut(sets)
