@@ -115,3 +115,10 @@ def test_merge_is_idempotent(spark, sf):
     once = lexicon.merged(e)
     assert lexicon.merge_into(e, once).count() == 0
     assert once.select("source_code", "normalized_word", "sense_number").distinct().count() == once.count()
+
+
+def test_orphans_of_empty_tables(spark, sf):
+    e, n, r, lab = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("graph_edge", "graph_node", "graph_relation", "label_catalog"))
+    assert references.found(e.limit(0), n, r, lab).count() == 0
+    known = e.select(F.explode(F.array(*[F.col(f) for f in references.FIELDS])).alias("v")).where("v IS NOT NULL").count()
+    assert 0 < references.broken(e, n.limit(0), r.limit(0), lab.limit(0)).count() <= known
