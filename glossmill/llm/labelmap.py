@@ -14,8 +14,9 @@ labels of the catalogue (`esp. law`, `law, etc.`) are learned from all values fi
 Otherwise it means none (label_id 0). Null values and those of spaces only are no cases, nor are values written exactly
 like a label of their kind. An empty catalogue maps every value to 0. A value with one word is never taken for dressing.
 
-Rows are mapped where they are, without a shuffle: the tree is broadcast and each task looks up each distinct value of
-a batch once, so a value that a third of all rows hold costs nothing extra. A catalogue of more than TREE_LABELS labels is
+The distinct values are looked up once and, if they are few, broadcast to the rows; else rows are mapped where they are,
+each task looking up each distinct value of a batch once. Either way rows are not shuffled, so a value that a third of all
+rows hold costs nothing extra. A catalogue of more than TREE_LABELS labels is
 cut into shards: each shard's tree in turn meets the distinct values, tells the best label and up to two owners of an
 abbreviation, and what a value means is decided from what all shards told. The answers are the same.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.llm.normalize import consistent
-from glossmill.session import cut, maybe_broadcast
+from glossmill.session import cut, maybe_broadcast, small, spread
 
 MIN_PREFIX = 3
 MAX_EDITS = 2
@@ -234,7 +235,10 @@ def mapped(rows: DataFrame, row_id: str, fields: dict[str, str], catalogue: Data
     if len(known) > TREE_LABELS:
         return _sharded(rows, row_id, fields, labels)
     by_kind = {k: [(r.label_id, r.canonical_label) for r in known if r.label_kind == k] for k in fields.values()}
-    shared = rows.sparkSession.sparkContext.broadcast((by_kind, learned(_values(rows, fields), labels)))
+    values = cut(_values(rows, fields))
+    shared = rows.sparkSession.sparkContext.broadcast((by_kind, learned(values, labels)))
+    if small(values):
+        return _cases(rows, row_id, fields).join(F.broadcast(cut(_meant(spread(values), shared))), ["kind", "value"]).select("field", row_id, "label_id")
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         affixes = shared.value[1]
@@ -254,6 +258,26 @@ def mapped(rows: DataFrame, row_id: str, fields: dict[str, str], catalogue: Data
     return rows.select(row_id, *fields).where(" OR ".join(f"{f} IS NOT NULL" for f in fields)).mapInArrow(of, out)
 
 
+def _meant(values: DataFrame, shared) -> DataFrame:  # noqa: ANN001
+    """(kind, value, label_id) of values (kind, value) that are not written like a label."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        affixes = shared.value[1]
+        cats = {k: Catalogue(v) for k, v in shared.value[0].items()}
+        for b in batches:
+            rows = [(k, v, cats[k].label_of(forms(v, affixes))) for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if v not in cats[k].exact]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32()))], names=["kind", "value", "label_id"])
+
+    return values.mapInArrow(of, "kind string, value string, label_id int")
+
+
+def _cases(rows: DataFrame, row_id: str, fields: dict[str, str]) -> DataFrame:
+    """(row_id, field, kind, value) of each value that is neither null nor only spaces."""
+    parts = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(k).alias("kind"), F.col(f).alias("value")) for f, k in fields.items()])
+    return rows.select(F.col(row_id).cast("long").alias(row_id), F.explode(parts).alias("x")).select(row_id, "x.field", "x.kind", "x.value").where("value IS NOT NULL AND trim(value) <> ''")
+
+
 def _sharded(rows: DataFrame, row_id: str, fields: dict[str, str], labels: DataFrame) -> DataFrame:
     """The same for a catalogue of any size: one pass over the distinct values for each shard of it."""
     spark = rows.sparkSession
@@ -294,9 +318,7 @@ def _sharded(rows: DataFrame, row_id: str, fields: dict[str, str], labels: DataF
     full = F.when(near == 0, rank(zero, F.col("near.spaced"), form, F.col("near.label_id"))).when(near > 0, rank(F.lit(2), near, form, F.col("near.label_id")))
     short = F.when(F.col("first.owner") == F.col("last"), rank(F.lit(1), form, zero, F.col("first.label_id")))
     best = cut(per.groupBy("kind", "value").agg(F.min(F.least(full, short)).alias("m")).select("kind", "value", F.col("m.label_id").alias("label_id")).where("label_id IS NOT NULL"))
-    kinds = F.create_map(*[F.lit(x) for fk in fields.items() for x in fk])
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
-    cases = rows.select(row_id, F.explode(pairs).alias("x")).select(F.col(row_id).cast("long").alias(row_id), "x.field", "x.value").where("value IS NOT NULL AND trim(value) <> ''").withColumn("kind", kinds[F.col("field")])
+    cases = _cases(rows, row_id, fields)
     cases = cases.join(maybe_broadcast(exact), ["kind", "value"], "left_anti")
     # A value that many rows hold is looked up in a broadcast, or its rows are shuffled by value and split where they are skewed.
     return cases.join(maybe_broadcast(best), ["kind", "value"], "left").select("field", row_id, F.coalesce("label_id", F.lit(0)).alias("label_id"))

@@ -5,7 +5,7 @@ rounds into a random one, in round t + b into bin b, so that every coordinate is
 a coordinate keeps the element of the earliest round and least hash. Two sets agree in a coordinate with their
 similarity as probability. Sets that agree in a whole band are candidates; candidates are verified on the whole sets.
 
-A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 5e-4 at 0.7, 2e-5 at 0.75.
+A pair of similarity s is missed with probability (1 - s**ROWS) ** BANDS: 1e-3 at 0.7, 1e-4 at 0.75.
 
 Each row of a bucket carries a signature: the parity of the set's words in each of BITS classes, and the size of the
 set. Sets of similarity t differ in at most (1 - t) / (1 + t) * (|A| + |B|) words, and their signatures in no more bits,
@@ -44,7 +44,7 @@ from glossmill.session import cut, maybe_broadcast
 
 THRESHOLD = 0.7
 ROWS = 4
-BANDS = 28
+BANDS = 24
 #: Words in at least this share of the sets of large buckets come last in prefixes; there are at most (words a set) / COMMON of them.
 COMMON = 0.002
 #: Sets in a bucket that are paired at once.
@@ -76,10 +76,12 @@ def sketch(elements: np.ndarray, owner: np.ndarray, sets: int, t: int) -> np.nda
     base = owner.astype(np.int64) * t
     e = elements
     for i in range(2 * t):
-        h = mix(e + _U((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        b = (h >> _U(40)).astype(np.int64) % t if i < t else i - t
+        # Elements are well mixed already, so a short hash does for each round.
+        h = (e ^ _U((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) * _U(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> _U(32))) * _U(0x94D049BB133111EB)
+        b = ((h >> _U(40)) * _U(t) >> _U(24)).astype(np.int64) if i < t else i - t
         np.minimum.at(out, base + b, (h & _U(0xFFFFFFFFFF)) | _U(i << 40))
-        if i % 16 == 15:
+        if i % 8 == 7:
             todo = (out.reshape(sets, t) == empty).any(axis=1)
             if not todo.any():
                 break
@@ -228,33 +230,42 @@ def run_pairs(rows: DataFrame, most: int | None, threshold: float) -> DataFrame:
 
 def prefixed(hot: DataFrame, order: dict[int, int], tokens: int, threshold: float) -> DataFrame:
     """(key, set_id, sig, role): members (key, set_id, words) of hot buckets by one or two words of their prefixes."""
-    shared = hot.sparkSession.sparkContext.broadcast(order)
+    frequent = sorted(order, key=lambda w: (order[w], w))
+    shared = hot.sparkSession.sparkContext.broadcast(np.array(frequent, np.int64))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = shared.value
+        late = shared.value
+        by_word = np.argsort(late)
         for batch in batches:
-            keys, roles, sig = [], [], signatures(batch.column(2).flatten().to_numpy(), np.diff(batch.column(2).offsets.to_numpy()))
-            for key, words in zip(batch.column(0).to_numpy().view(np.uint64), batch.column(2).to_pylist()):
-                n = len(words)
-                long = n - int(np.ceil(threshold * n - 1e-9)) + 1
-                short = n - int(np.ceil(2 * threshold / (1 + threshold) * n - 1e-9)) + 1
-                w = np.array(sorted(words, key=lambda x: (rank.get(x, 0), x)), np.int64)
-                w = mix(w.view(np.uint64))
-                one = mix(w[:long] + key + _U(7)), np.where(np.arange(min(long, n)) < short, ANY, ANY - SHORT)
-                if tokens == 1:
-                    made = [one]
-                else:
-                    w = w[: long + 1]
+            if not len(batch):
+                continue
+            lists = batch.column(2)
+            words, n = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(n)), n)
+            key, ids, sig = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), signatures(words, n)
+            # Words that are not frequent come first, in the order of their hashes.
+            rank = np.zeros(len(words), np.int64)
+            if len(late):
+                at = np.minimum(np.searchsorted(late, words, sorter=by_word), len(late) - 1)
+                rank = np.where(late[by_word[at]] == words, by_word[at] + 1, 0)
+            words = words[np.lexsort((words, rank, owner))]
+            place = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
+            long = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+            short = n - np.ceil(2 * threshold / (1 + threshold) * n - 1e-9).astype(np.int64) + 1
+            hashes = mix(words.view(np.uint64))
+            chosen = place < long[owner]
+            if tokens > 1:
+                chosen &= (threshold * n <= 1)[owner]  # only such small sets may be similar by one word
+            who = owner[chosen]
+            out = [(mix(hashes[chosen] + key[who] + _U(7)), who, np.where(place[chosen] < short[who], ANY, ANY - SHORT))]
+            if tokens > 1:
+                begin = np.cumsum(n) - n
+                for o in range(len(n)):
+                    w = hashes[begin[o] : begin[o] + min(long[o] + 1, n[o])]
                     i, j = np.triu_indices(len(w), 1)
-                    made = [(mix(w[j] + mix(w[i]) + key), np.where(j < short + 1, ANY, ANY - SHORT))]
-                    if threshold * n <= 1:  # such small sets may be similar by one word
-                        made.append(one)
-                keys.append(np.concatenate([k for k, _ in made]).view(np.int64))
-                roles.append(np.concatenate([r for _, r in made]).astype(np.int32))
-            if keys:
-                n = [len(k) for k in keys]
-                ids = np.repeat(batch.column(1).to_numpy(), n)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids), pa.array(np.repeat(sig, n)), pa.array(np.concatenate(roles))], names=["key", "set_id", "sig", "role"])
+                    out.append((mix(w[j] + mix(w[i]) + key[o]), np.full(len(i), o), np.where(j < short[o] + 1, ANY, ANY - SHORT)))
+            made, who, role = (np.concatenate(c) for c in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(made.view(np.int64)), pa.array(ids[who]), pa.array(sig[who]), pa.array(role.astype(np.int32))], names=["key", "set_id", "sig", "role"])
 
     return hot.select("key", "set_id", "words").mapInArrow(of, "key long, set_id long, sig long, role int")
 

@@ -125,10 +125,11 @@ def test_shards_tell_what_one_tree_tells(spark, monkeypatch):
     values = ["bio", "biol", "biom", "biotop", *[rnd.choice([w, w[:4], f"esp {w}", w[1:], f"{w}, etc.", f"x{w}"]) for _, _, w in labels for _ in range(3)]]
     rows = spark.createDataFrame([(i, "x", v, rnd.choice(values)) for i, v in enumerate(values)], PARSED)
     got = {}
-    for n in (1000, 6, 3):
+    for n in (1000, 6, 3, 999):
         monkeypatch.setattr(labelmap, "TREE_LABELS", n)
+        monkeypatch.setattr(labelmap, "small", lambda df, n=n: n == 1000)
         got[n] = sorted(tuple(r) for r in labelmap.found(rows, cat).collect())
-    assert got[1000] == got[6] == got[3] and sum(r[2] > 0 for r in got[3]) > 50
+    assert got[1000] == got[999] == got[6] == got[3] and sum(r[2] > 0 for r in got[3]) > 50
 
 
 def edited(rnd, vocabulary, n):
