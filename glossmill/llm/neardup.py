@@ -108,10 +108,10 @@ COPY = ("c1", "c2")
 def word_sets(rows: DataFrame, text: str, row_id: str) -> DataFrame:
     """(id, s1, s2, c1, c2, words): the distinct words of each text as sorted 64-bit hashes, and keys of set and letters."""
     form = rows.where(F.col(text).isNotNull() & F.col(row_id).isNotNull()).select(F.col(row_id).cast("long").alias("id"), consistent_col(F.col(text)).alias("form")).where(F.col("form").rlike(r"[\p{L}\p{N}]"))
-    found = F.filter(F.split(F.lower("form"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    found = F.regexp_extract_all(F.lower("form"), F.lit(r"[\p{L}\p{N}]+"), 0)
     # The letters of a text are its words written together; only labelled definitions are read again.
     out = form.select("id", found.alias("found"), F.when(F.col("form").rlike(LABELLED), parts_key(F.col("form"))).alias("parts"))
-    out = out.select("id", F.coalesce("parts", F.array_join("found", "")).alias("letters"), F.array_sort(F.array_distinct(F.transform("found", lambda w: F.xxhash64(w)))).alias("words"))
+    out = out.select("id", F.coalesce("parts", F.array_join("found", "")).alias("letters"), F.sort_array(F.array_distinct(F.transform("found", lambda w: F.xxhash64(w)))).alias("words"))
     key = lambda c, names: [F.xxhash64(c).alias(names[0]), F.xxhash64(F.lit(1), c).alias(names[1])]
     return out.select("id", *key("words", SET), *key("letters", COPY), "words")
 

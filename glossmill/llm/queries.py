@@ -13,7 +13,7 @@ from glossmill.session import spread, table
 COLUMNS = {
     "dictionary_entry_parsed": ("dictionary_entry_parsed_id", "definition", "domain", "usage_label"),
     "dictionary_entry_synonym": ("dictionary_entry_synonym_id", "dictionary_entry_parsed_id", "synonym_text", "source_code"),
-    "documents": ("doc_id", "text", "source"),
+    "documents": ("doc_id", "text", "source", "lang"),
 }
 
 

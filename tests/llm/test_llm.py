@@ -345,14 +345,43 @@ def test_mix_meets_targets(spark, sf):
     total = Counter()
     for r in mix:
         total[r.source] += r.tokens * r.repeats
-    assert abs(total["entry_articles"] / sum(total.values()) - 0.625) < 0.02
+    assert abs(total["entry_articles"] / sum(total.values()) - 0.625) < 0.005
     shares = {r.source: r for r in mixing.shares(docs, targets).collect()}
     assert shares["nowhere"].share == 0 and abs(sum(r.share for r in shares.values()) - 1) < 1e-9
     assert mixing.mixed(docs.limit(0), targets).count() == 0 and mixing.mixed(docs, targets.limit(0)).count() == 0
 
 
+def test_fit_reaches_domains_and_labels(spark):
+    """Documents that are labelled a but read like b count for b: the rates of both make up for it."""
+    rows = [("a", [16, 0], 1000), ("a", [4, 12], 500), ("b", [0, 16], 1000), ("b", [8, 8], 100)]
+    classes = spark.createDataFrame(rows, "source string, member array<int>, tokens long")
+    listed = [("a", 0.5, 3), ("b", 0.5, 2)]
+    rates, target, expected = mixing.fitted(classes, listed)
+    assert np.allclose(target, [2200, 2200]) and np.allclose(expected, 2200, rtol=0.25) and np.allclose(expected[2:], 2200, rtol=0.1)
+    got = {(r.source, tuple(r.member)): r.rate for r in rates.collect()}
+    assert all(0 <= x <= (3 if s == "a" else 2) for (s, _), x in got.items()) and got["a", (16, 0)] > got["a", (4, 12)]
+
+
+def test_fit_on_the_driver_and_by_jobs_is_the_same(spark, monkeypatch):
+    rnd = random.Random(2)
+    classes = spark.createDataFrame([(s, [m, 16 - m], rnd.randrange(1, 1000)) for s in "ab" for m in range(17)], "source string, member array<int>, tokens long")
+    monkeypatch.setattr(mixing, "ITERATIONS", 8)
+    got = []
+    for here in (True, False):
+        monkeypatch.setattr(mixing, "small", lambda df, here=here: here)
+        rates, target, expected = mixing.fitted(classes, [("a", 0.3, 2), ("b", 0.7, 3)])
+        got.append((sorted((r.source, r.member, round(r.rate, 9)) for r in rates.collect()), np.round(target, 6).tolist(), np.round(expected, 6).tolist()))
+    assert got[0] == got[1]
+
+
+def test_too_many_sources_are_an_error(spark, sf, monkeypatch):
+    monkeypatch.setattr(mixing, "SOURCES", 3)
+    with pytest.raises(ValueError, match="3 sources"):
+        mixing.mixed(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/mix_target.parquet"))
+
+
 def test_tokens_are_those_of_the_tokenizer(spark, sf):
-    enc = mixing.encoder(mixing.TOKENIZER)
+    enc = mixing.encoder(mixing._ranks(mixing.TOKENIZER))
     assert enc.decode(enc.encode_ordinary("Naïve <|endoftext|> ok\n\n")) == "Naïve <|endoftext|> ok\n\n"
 
 
@@ -367,29 +396,48 @@ def test_reading_levels_agree_with_held_out_readers(spark):
 
 
 def test_reading_levels_of_odd_texts(spark):
-    docs = spark.createDataFrame([(1, None), (2, ""), (3, "一二三"), (4, "a " * 50000), (5, "?!")], "doc_id long, text string").withColumn("level", F.lit("x")).withColumn("source", F.lit("s"))
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "一二三"), (4, "a " * 50000), (5, "?!")], "doc_id long, text string").withColumn("lang", F.lit(None).cast("string")).withColumn("level", F.lit("x")).withColumn("source", F.lit("s"))
     none = spark.createDataFrame([], "doc_id long, rater_id int, grade_band int")
     got = {r.doc_id: r for r in reading.levels(docs, none).collect()}
     assert sorted(got) == [2, 3, 4, 5] and all(-4.1 <= r.level <= 4.1 for r in got.values())
     assert reading.levels(docs.limit(0), none).count() == 0
 
 
-def test_rare_words_count_for_the_level(spark):
+def read(spark, texts):
+    return reading._read(spark.createDataFrame(texts, "doc_id long, text string"), reading.Languages(["en"], np.zeros((1, reading.BYTES))))
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_rare_words_count_for_the_level(spark, monkeypatch, broadcast):
     """Documents alike in their common words and surface, of which some hold rare words of long-worded documents."""
-    texts = spark.createDataFrame([(k, f"the cat sat on {w} mat") for k, w in enumerate(["a", "a", "zyx", "zyx", "wvu"] + ["a"] * 20)], "doc_id long, text string")
-    counts = reading._counts(texts)
-    assert {r.word: r.n for r in counts.collect() if r.n < 25} == {"a": 22, "zyx": 2, "wvu": 1}
-    known = ["a", "cat", "mat", "on", "sat", "the"]
-    docs = {r.doc_id: sorted(r["items"]) for r in reading._pooled(reading._encoded(texts, known), counts, 6, 20).collect()}
-    assert docs[0] == [0, 1, 2, 3, 4, 5] and docs[2] == docs[3] == [1, 2, 3, 4, 5, 7] and docs[4] == [1, 2, 3, 4, 5, 6] and len(docs) == 25
+    monkeypatch.setattr(reading, "small", lambda df, n: broadcast)
+    docs, items = reading.encoded(read(spark, [(k, f"the cat sat on {w} mat") for k, w in enumerate(["a", "a", "zyx", "zyx", "wvu"] + ["a"] * 20)]))
+    got = {r.doc_id: sorted(r["items"]) for r in docs.collect()}
+    assert got[0] == [0, 1, 2, 3, 4, 5] and got[2] == got[3] and got[2][-1] == 7 and got[4][-1] == 6 and len(got) == 25 and len(items.own) == 6
     none = spark.createDataFrame([], "doc_id long, rater_id int, grade_band int")
-    plain = [(k, "the cat sat on the mat") for k in range(60)]
-    hard = [(100 + k, f"the cat sat on extraordinarily{k} incomprehensible{k} mat") for k in range(60)]
-    same = [(200, "the cat sat on qqq rrr mat"), (201, "the cat sat on the the mat")]
-    level = {r.doc_id: r.level for r in reading.levels(spark.createDataFrame(plain + hard + same, "doc_id long, text string"), none).collect()}
+    plain = [(k, "the cat sat on the mat", "en") for k in range(60)]
+    hard = [(100 + k, f"the cat sat on extraordinarily{k} incomprehensible{k} mat", "en") for k in range(60)]
+    same = [(200, "the cat sat on qqq rrr mat", None), (201, "the cat sat on the the mat", "en")]
+    level = {r.doc_id: r.level for r in reading.levels(spark.createDataFrame(plain + hard + same, "doc_id long, text string, lang string"), none).collect()}
     assert level[200] > level[201]
 
 
+def test_languages_have_levels_of_their_own(spark):
+    rnd = random.Random(6)
+    easy, hard = "the cat sat on a mat and the dog ran to it".split(), "epistemological considerations notwithstanding contemporary lexicographers systematically differentiate".split()
+    leicht, schwer = "der hund lief zu der katze und sie sah ihn".split(), "erkenntnistheoretische auseinandersetzungen rechtfertigen wissenschaftliche begriffsbestimmungen gewissermaßen".split()
+    rows = []
+    for k in range(400):
+        share, german = rnd.random(), k % 4 == 0
+        ws = [rnd.choice((schwer if german else hard) if rnd.random() < share else (leicht if german else easy)) for _ in range(40)]
+        rows.append((k, " ".join(ws) + ".", rnd.choice(["DE ", "de", "de", None, "en"]) if german else rnd.choice(["en", "en", "EN", "de"]), share))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, share double")
+    got = reading.levels(docs, spark.createDataFrame([], "doc_id long, rater_id int, grade_band int")).join(docs.select("doc_id", "share"), "doc_id").toPandas()
+    assert set(got.language) == {"de", "en"} and ((got.doc_id % 4 == 0) == (got.language == "de")).all()
+    for _, part in got.groupby("language"):
+        assert part.level.rank().corr(part.share.rank()) > 0.9 and set(part.band) == {1, 2, 3, 4, 5} and abs(part.level.mean()) < 0.3
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_runs(spark, sf, name):
     df = queries.QUERIES[name](spark, sf)
