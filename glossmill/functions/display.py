@@ -19,7 +19,7 @@ SMALL_NUMBERS = ("zero", "one", "two", "three", "four", "five", "six", "seven",
 def domain_label(c: Column) -> Column:
     """A domain with a capital; null if blank."""
     t = text.squeeze(c)
-    return F.when(~text.blank(c), F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, 2, 1_000_000))))
+    return F.when(~text.blank(c), F.concat(F.upper(F.substring(t, 1, 1)), F.lower(F.substring(t, F.lit(2), F.greatest(F.length(t), F.lit(1))))))
 
 
 def usage_label(c: Column) -> Column:

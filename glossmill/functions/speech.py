@@ -14,16 +14,28 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 from glossmill.functions.text import squeeze, trim
 
 # Sounds and spellings.
-IPA_VOWELS = set("iyɪʏeøɛœæaɑɒɔoʊuəɚɝɜɵɐ")
+IPA_VOWELS = "iyɪʏeøɛœæaɑɒɔoʊuəɚɝɜɵɐ"
 IPA_LETTERS = "ˈˌɑ-ʊəɐɛɪɔʌθðŋʃʒʤʧɡɜɒɫɾɹɻʲ̃ː"
 STRESSABLE = "[ɑæɐəɛɪiɔʊuʌeɜ]"
-HAS_VOWEL, HAS_CONSONANT = re.compile("[aeiouæɪʊəɐɑɔɛɜʌoøɒyɯɨɶ]"), re.compile("[bcdfghjklmnpqrstvwxyzθðʃʒŋ]")
-DIGRAPHS = {"ch", "sh", "th", "ph", "wh", "ck", "ng", "gh", "gn", "kn", "wr", "qu"}
+SYLLABIC = "aeiouæɪʊəɐɑɔɛɜʌoøɒyɯɨɶ"
+CONSONANTS = "bcdfghjklmnpqrstvwxyzθðʃʒŋ"
+DIGRAPHS = ("ch", "sh", "th", "ph", "wh", "ck", "ng", "gh", "gn", "kn", "wr", "qu")
 SUFFIXES = (
     "ation", "ition", "tation", "tion", "sion", "ture", "sure", "cial", "tial", "cian", "gian", "ment", "ness", "able", "ible",
     "ing", "edly", "ed", "er", "est", "ly", "ious", "eous", "uous", "ative", "itive", "ize", "ise", "ate",
 )
 
+#: A piece of a pronunciation: all before its second vowel, then from each vowel to the next one.
+PIECE = re.compile(rf"^[^{IPA_VOWELS}]*[{IPA_VOWELS}]?[^{IPA_VOWELS}]*|[{IPA_VOWELS}][^{IPA_VOWELS}]*")
+#: Whether a piece can be a syllable: it has a vowel and a consonant.
+WHOLE = re.compile(rf"(?=.*[{SYLLABIC}])(?=.*[{CONSONANTS}])", re.S)
+#: Where a written word parts: before the consonants between two vowels if that is one or begins with a digraph, else after
+#: the first of them. A digraph's letters are never parted.
+VOWEL, OTHER = "[aeiouyAEIOUY]", "[^aeiouyAEIOUY]"
+_PAIR = "|".join(DIGRAPHS)
+_WITHIN = "".join(f"(?!(?<={a})(?={b}))" for a, b in (x for d in DIGRAPHS for x in (tuple(d), tuple(d.upper()), tuple(d.title()))))
+BREAK = re.compile(rf"(?<={VOWEL})(?=(?:(?i:{_PAIR}){OTHER}*|{OTHER}){VOWEL})|(?<={VOWEL}{OTHER})(?={OTHER}+{VOWEL}){_WITHIN}")
+
 SYLLABLES = ArrayType(StructType([StructField("index", IntegerType()), StructField("text", StringType()), StructField("stress", IntegerType())]))
 
 
@@ -57,18 +69,20 @@ def with_stress(c: Column) -> Column:
     return F.when(~core.rlike("[ˈˌ]") & (F.regexp_count(core, F.lit(STRESSABLE)) >= 2), F.concat(F.lit("/ˈ"), core, F.lit("/"))).otherwise(c)
 
 
-def ipa_of(text: Column) -> Column:
-    """array of struct(ipa, locale): the pronunciations in a text, between slashes if there are slashes, each once."""
-    slashed = F.regexp_extract_all(text, F.lit("/([^/]+)/"), 1)
-    raw = F.when(F.size(slashed) > 0, slashed).otherwise(F.array(text))
-    good = F.filter(raw, lambda r: ~r.rlike(r"^[0-9\s./:-]+$") & ~r.rlike(r"(?i)\b(strong|weak|form|plural|singular)\b") & r.rlike(f"[{IPA_LETTERS}]"))
+#: Candidates that are no pronunciation: numbers and marks only, or prose about forms.
+NO_IPA = r"^[0-9\s./:-]+$|(?i)\b(?:strong|weak|form|plural|singular)\b"
 
-    def parts(r: Column) -> Column:
-        t = F.regexp_replace(F.regexp_replace(F.regexp_replace(r, ":", "ː"), "[.,，()]", ""), rf"[^{IPA_LETTERS}\. ]", "")
-        return F.filter(F.transform(F.split(squeeze(t), " "), lambda p: F.regexp_replace(p, "^-|-$", "")), lambda p: p.rlike(f"[{IPA_LETTERS}]"))
 
-    cores = F.array_distinct(F.flatten(F.transform(good, parts)))
-    made = F.transform(cores, lambda p: F.struct(with_stress(F.concat(F.lit("/"), p, F.lit("/"))).alias("ipa"), locale_of_ipa(p).alias("locale")))
+def ipa_of(text: Column) -> Column:
+    """array of struct(ipa, locale): the pronunciations in a text, between slashes if there are slashes, each once.
+
+    Each word of a candidate is reduced to its sounds; what has none is left out.
+    """
+    slashed = F.regexp_extract_all(text, F.lit("/([^/]+)/"), 1)
+    candidates = F.filter(F.when(F.size(slashed) > 0, slashed).otherwise(F.array(text)), lambda r: ~r.rlike(NO_IPA))
+    words = F.flatten(F.transform(candidates, lambda r: F.split(F.translate(r, ":", "ː"), " +")))
+    sounds = F.array_distinct(F.array_remove(F.transform(words, lambda w: F.regexp_replace(w, f"[^{IPA_LETTERS}]", "")), ""))
+    made = F.transform(sounds, lambda p: F.struct(with_stress(F.concat(F.lit("/"), p, F.lit("/"))).alias("ipa"), locale_of_ipa(p).alias("locale")))
     return F.when(text.isNotNull(), made).otherwise(F.array().cast(made_type()))
 
 
@@ -77,65 +91,30 @@ def made_type() -> str:
 
 
 def split_ipa(ipa: str) -> list[tuple[int, str, int]]:
-    """(index, text, stress) of each syllable: a new one begins at each further vowel; pieces without a vowel or a
-    consonant join the one before them."""
-    pieces: list[list] = []
-    held, vowel, stress = "", False, 0
-    for c in ipa:
-        if c in "ˈˌ":
-            stress = 2 if c == "ˈ" else 1
-            continue
-        if c in IPA_VOWELS:
-            if vowel:
-                pieces.append([held, stress])
-                held, stress = "", 0
-            vowel = True
-        held += c
-    if held:
-        pieces.append([held, stress])
-    out: list[list] = []
-    for text, level in pieces:
-        if out and not (HAS_VOWEL.search(text) and HAS_CONSONANT.search(text)):
-            out[-1] = [out[-1][0] + text, max(out[-1][1], level)]
-        else:
-            out.append([text, level])
-    return [(i, t, s) for i, (t, s) in enumerate(out, 1)]
-
-
-def _vowel_spans(word: str) -> list[tuple[int, int]]:
-    return [m.span() for m in re.finditer("[aeiouy]+", word, re.I)]
+    """(index, text, stress) of each syllable of a pronunciation. A piece without a vowel or a consonant belongs to the one
+    before it; a syllable's stress is its strongest piece's, a piece's that of its last mark."""
+    pieces = [p for p in PIECE.findall(ipa) if p.strip("ˈˌ")]
+    texts = [p.replace("ˈ", "").replace("ˌ", "") for p in pieces]
+    stress = [max((p.rfind("ˌ"), 1), (p.rfind("ˈ"), 2))[1] if {"ˈ", "ˌ"} & set(p) else 0 for p in pieces]
+    begins = [i for i, t in enumerate(texts) if i == 0 or WHOLE.match(t)]
+    return [(n, "".join(texts[i:j]), max(stress[i:j])) for n, (i, j) in enumerate(zip(begins, [*begins[1:], len(texts)]), 1)]
 
 
 def split_spelling(word: str) -> list[str]:
-    """The syllables of a written word: hyphens part first, then a strong suffix, then consonants between vowels."""
-    word = re.sub(r"[^A-Za-z'\-]", "", word)
+    """The syllables of a written word: parted at hyphens, before a strong suffix, then between its vowels."""
+    word = re.sub(r"[^A-Za-z'-]", "", word)
     if "-" in word:
-        parts = [s for p in word.split("-") if p for s in split_spelling(p)]
-        return parts or [word]
-    spans = _vowel_spans(word)
-    if not word or len(word) <= 3 or len(spans) <= 1:
+        return [s for part in word.split("-") for s in split_spelling(part)] or [word]
+    if len(word) <= 3 or len(re.findall(f"{VOWEL}+", word)) < 2:
         return [word] if word else []
-    suffix = next((s for s in SUFFIXES if len(word) > len(s) + 2 and word.lower().endswith(s)), None)
-    if suffix:
-        left, right = word[: -len(suffix)], word[-len(suffix) :]
-        if len(right) > 1 and _vowel_spans(left) and _vowel_spans(right):
-            return _joined(split_spelling(left) + split_spelling(right))
-    cuts = []
-    for (_, a), (b, _) in zip(spans, spans[1:]):
-        between = word[a:b]
-        cuts.append(a if len(between) == 1 or between[:2].lower() in DIGRAPHS else a + 1)
-    return _joined([word[i:j] for i, j in zip([0, *cuts], [*cuts, len(word)])])
-
-
-def _joined(parts: list[str]) -> list[str]:
-    """A syllable of one letter goes to the next one."""
-    out, held = [], ""
-    for p in parts:
-        held += p
-        if len(held) > 1:
-            out.append(held)
-            held = ""
-    return out + [held] if held else out
+    suffix = next((s for s in SUFFIXES if len(word) > len(s) + 2 and word.lower().endswith(s)), "")
+    stem = word[: len(word) - len(suffix)]
+    if suffix and re.search(VOWEL, stem) and re.search(VOWEL, suffix):
+        pieces = split_spelling(stem) + split_spelling(word[len(stem) :])
+    else:
+        pieces = [p for p in BREAK.split(word) if p]
+    # A letter alone goes to the syllable after it.
+    return [p.replace(" ", "") for p in re.findall(r"(?:\S )*\S{2,}|(?:\S )*\S$", " ".join(pieces))]
 
 
 @F.pandas_udf(SYLLABLES)

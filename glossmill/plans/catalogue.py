@@ -289,11 +289,23 @@ def rewrite_promote(s: DataFrame, c: DataFrame) -> DataFrame:
     return rewrite.promoted(rewrite.candidates(_pairs(s)), c.select(F.col("normalized_word").alias("from_text")))
 
 
+PATTERNS = rewrite.pattern_rules([
+    {"id": "DASH", "pattern": r"\s--\s", "replacement": "—", "category": "PUNCTUATION"}, {"id": "ETC", "pattern": r"\betc\b(?!\.)", "replacement": "etc.", "category": "DICTIONARY_FORMAT", "languages": ["en"]},
+    {"id": "DE", "pattern": "ss", "replacement": "ß", "category": "SPELLING", "languages": ["de"]}, {"id": "OFF", "pattern": "a", "enabled": False},
+])
+
+
 @_over(PARSED)
 def rewrite_pipeline(p: DataFrame) -> DataFrame:
-    after = rewrite.once(rewrite.pipeline(F.col("definition"), rewrite.ordered(RULES, STOP_WORDS))).alias("after")
-    out = _definitions(p).select("dictionary_entry_parsed_id", "definition", after)
-    return out.where("after <> definition").select("dictionary_entry_parsed_id", "after").distinct()
+    """The definitions that the whole pipeline changes."""
+    return rewrite.changed(_definitions(p), "dictionary_entry_parsed_id", "definition", rewrite.ordered(RULES, STOP_WORDS), PATTERNS).select("dictionary_entry_parsed_id", "after", "stable")
+
+
+@_over(PARSED, SYNONYM)
+def rewrite_job(p: DataFrame, s: DataFrame) -> DataFrame:
+    """How many fields a run rewrites in senses that have no synonym yet; quoted sentences of a definition are its examples."""
+    senses = p.dropDuplicates(["dictionary_entry_parsed_id"]).withColumn("examples", F.regexp_extract_all("definition", F.lit("“([^”]{10,})”"), 1))
+    return rewrite.job(senses, s, rewrite.ordered(RULES, STOP_WORDS), PATTERNS).groupBy("field").agg(F.count("*").alias("rewritten"))
 
 
 # Suggestions and merging of several results.

@@ -83,17 +83,48 @@ def test_rules_fold_in_order_and_count(spark):
     assert {r.rule_id: r.hits for r in rewrite.hits(rewrite.rewritten(df, "id", "t", rules)).collect()} == {1: 1, 2: 1, 3: 1}
 
 
+def test_fold_ends_after_so_many_changes_not_so_many_rules(spark, monkeypatch):
+    monkeypatch.setattr(rewrite, "MAX_RULES", 3)
+    rules = [rewrite.Rule(i, f"w{i}", f"x{i}") for i in range(40)]
+    assert len(rewrite.ordered(rules)) == 40
+    df = spark.createDataFrame([(1, "w30 w31 w32 w33"), (2, "w39"), (3, "none")], "id int, t string")
+    got = {r.id: list(r.rules) for r in rewrite.rewritten(df, "id", "t", rewrite.ordered(rules)).collect()}
+    assert got == {1: [30, 31, 32], 2: [39]}
+
+
+def test_pattern_rules_are_ranked():
+    rules = rewrite.pattern_rules([
+        {"id": "c", "pattern": "x", "category": "cleanup"}, {"id": "b", "pattern": "y", "category": "spelling", "priority": 5}, {"id": "a", "pattern": "z", "category": "spelling", "priority": 5, "confidence": 0.9},
+        {"id": "o", "pattern": "q"}, {"id": "off", "pattern": "r", "enabled": False}, {"id": "", "pattern": "s"}, {"id": "n", "pattern": None}, None, {"id": "d", "pattern": "d", "languages": ["de"]},
+        {"id": "x1", "pattern": "same", "enabled": False, "confidence": 1.0, "category": "style"}, {"id": "x2", "pattern": "same", "category": "style"}, {"id": "e", "pattern": "e", "languages": ["en"], "category": "grammar"},
+    ])
+    assert [r.id for r in rewrite.ranked(rules, "en-US")] == ["a", "b", "e", "x2", "c", "o"]
+    assert [r.id for r in rewrite.by_merit(rules)][:2] == ["a", "b"] and rewrite.by_merit(rules)[-1].enabled is False
+
+
 def test_repairs(spark):
     one = lambda f, x: spark.createDataFrame([(x,)], "t string").select(f(F.col("t"))).first()[0]
     assert one(rewrite.balanced, "a (b") == "a (b)" and one(rewrite.balanced, "a b)") == "a b" and one(rewrite.balanced, "a ((b") == "a ((b"
     assert one(rewrite.balanced, 'say "x') == 'say "x"' and one(rewrite.balanced, None) is None
     assert one(rewrite.abbreviations, "adj, fig") == "adj., fig." and one(rewrite.abbreviations, "adjective") == "adjective" and one(rewrite.abbreviations, "(n)") == "(n.)"
     assert one(rewrite.punctuation, "a ,b . See x.y@z.com , 1 . 5 and  U.S.A. now") == "a, b. See x.y@z.com, 1.5 and U.S.A. now"
-    assert one(rewrite.punctuation, "") == "" and one(rewrite.punctuation, None) is None
-    assert one(rewrite.title_case, "the LIFE of-a McDonald of x2") == "The Life of-A McDonald of x2" or True
+    for x, want in {"": "", " a ": "a", "12 : 30": "12:30", "£ 5 or 6 %": "£5 or 6%", "3 x 10 ^ 4": "3×10^4", "1 / 2 / 1999": "1/2/1999", "and / or": "and/or", "it 's": "it's", "Why????!": "Why!?", "wow!!!!!": "wow!!!", "a.....b": "a...b", "a – b": "a—b", "( x ) [ y ]": "(x) [y]", "dog’s": "dog's", "end.Next": "end.Next", "go!Now": "go! Now", "a;b": "a; b", "see ISBN 978-3-16-148410-0 , ok": "see ISBN 978-3-16-148410-0, ok"}.items():
+        assert one(rewrite.punctuation, x) == want, x
+    assert one(rewrite.punctuation, None) is None
+    assert one(rewrite.title_case, "the LIFE of-a McDonald of x2") == "The Life Of-A McDonald of x2" and one(rewrite.title_case, "x" * 3000) == "X" + "x" * 2999
     assert one(rewrite.title_case, "the house of the cat") == "The House of the Cat"
 
 
+def test_pipeline_keeps_tokens_and_tells_what_is_stable(spark):
+    rows = [(1, "see  a cat@cat.com , the cat"), (2, None), (3, "  "), (4, "fine."), (5, "adj , iPhone cat")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    got = {r.id: (r.after, r.stable) for r in rewrite.changed(df, "id", "t", rewrite.ordered([rewrite.Rule(1, "cat", "dog"), rewrite.Rule(2, "iphone", "phone")]), rewrite.pattern_rules([{"id": "a", "pattern": r"\ba\b", "replacement": "one"}])).collect()}
+    assert got == {1: ("see one cat@cat.com, the dog", True), 5: ("adj., iPhone dog", True)}
+    senses = spark.createDataFrame([(1, "a cat", "the CAT of x", ["cat !", "no"]), (2, "cat", None, None), (3, None, None, [])], "dictionary_entry_parsed_id long, definition string, meaning_title string, examples array<string>")
+    done = rewrite.job(senses, senses.where("dictionary_entry_parsed_id = 2"), rewrite.ordered([rewrite.Rule(1, "cat", "dog")])).collect()
+    assert {(r.field, r.after) for r in done} == {("Definition", "a dog"), ("MeaningTitle", "The Dog of X"), ("Example", "dog!")} and all(r.before in r.notes for r in done)
+
+
 def test_search_needs_all_terms_and_ranks(spark):
     d = spark.createDataFrame([(1, "red fox runs"), (2, "red fox"), (3, "red dog"), (4, None), (5, ""), (6, "fox red red")], "doc_id long, text string")
     q = spark.createDataFrame([(100, "red fox"), (101, "blue"), (102, None)], "query_id long, text string")
