@@ -136,3 +136,9 @@ def render_ipa(syllables: Column, locale: Column) -> Column:
 
 def render_spelling(syllables: Column) -> Column:
     return F.array_join(syllables, "·")
+
+
+def by_locale(syllables: Column, locale: Column) -> Column:
+    """Written syllables as a locale parts them: in en-UK a final `ion` stands alone."""
+    parted = F.flatten(F.transform(syllables, lambda x: F.when(x.rlike(".ion$"), F.array(F.regexp_replace(x, "ion$", ""), F.lit("ion"))).otherwise(F.array(x))))
+    return F.when(locale == "en-UK", parted).otherwise(syllables)

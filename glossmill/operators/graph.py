@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glossmill.functions import text
+from glossmill.operators import extract
 from glossmill.session import cut, maybe_broadcast
 
 # The relations of the graph.
@@ -41,7 +43,7 @@ def build_nodes(words: DataFrame, parsed: DataFrame, labels: DataFrame) -> DataF
 
 
 def build_edges(entries: DataFrame, parsed: DataFrame, labels: DataFrame) -> DataFrame:
-    """(from_node_id, to_node_id, relation_type) of words, senses, their parents, concepts and domains.
+    """(from_node_id, to_node_id, relation_type) of words, senses, their parents, concepts, domains, languages and references.
 
     A domain is linked when its name is written exactly as in the catalogue.
     """
@@ -55,6 +57,8 @@ def build_edges(entries: DataFrame, parsed: DataFrame, labels: DataFrame) -> Dat
         sense.where("parent_parsed_id IS NOT NULL").select(*named(me, node("Sense", F.col("parent_parsed_id")), "SUB_SENSE_OF")),
         sense.select(*named(me, node("Concept", F.col("dictionary_entry_parsed_id")), "BELONGS_TO")),
         sense.join(domains, "domain").select(*named(me, node("Domain", F.col("label_id")), "IN_DOMAIN")),
+        origin_edges(entries, labels),
+        reference_edges(parsed, entries),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -62,6 +66,35 @@ def build_edges(entries: DataFrame, parsed: DataFrame, labels: DataFrame) -> Dat
     return out.distinct()
 
 
+def reference_edges(parsed: DataFrame, entries: DataFrame) -> DataFrame:
+    """(from_node_id, to_node_id, relation_type): SEE, RELATED_TO and COMPARE from each sense to all senses of the word that
+    its definition refers to."""
+    r = parsed.select("dictionary_entry_parsed_id", F.explode(extract.references(F.col("definition"))).alias("r"))
+    r = r.select(F.col("dictionary_entry_parsed_id").alias("s"), F.col("r.target").alias("word"), text.literals(extract.RELATION)[F.col("r.type")].alias("relation_type")).distinct()
+    e = entries.select("dictionary_entry_id", F.lower("normalized_word").alias("word")).where("word IS NOT NULL").distinct()
+    p = parsed.select("dictionary_entry_id", F.col("dictionary_entry_parsed_id").alias("t")).distinct()
+    return r.join(e, "word").join(p, "dictionary_entry_id").where("s <> t").select(node("Sense", F.col("s")).alias("from_node_id"), node("Sense", F.col("t")).alias("to_node_id"), "relation_type").distinct()
+
+
+def origin_edges(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """(from_node_id, to_node_id, relation_type): DERIVED_FROM from each canonical word to the languages of the catalogue that
+    its etymologies name."""
+    names = maybe_broadcast(labels.where("label_kind = 'language' AND canonical_label IS NOT NULL").select("label_id", F.lower("canonical_label").alias("name")))
+    # Each run of words of an etymology is looked up among the names, so the tables meet by a key.
+    w = entries.where("canonical_word_id IS NOT NULL AND etymology IS NOT NULL").select("canonical_word_id", text.tokens(F.col("etymology")).alias("w")).distinct()
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, F.lit(2)), " "))
+    said = w.select("canonical_word_id", F.explode(F.array_distinct(F.concat("w", pairs))).alias("name"))
+    return said.join(names, "name").select(node("Word", F.col("canonical_word_id")).alias("from_node_id"), node("Language", F.col("label_id")).alias("to_node_id"), F.lit("DERIVED_FROM").alias("relation_type")).distinct()
+
+
+def merged_concepts(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(from_node_id, to_node_id, relation_type): BELONGS_TO edges with each concept replaced by the first of those that
+    pairs (a, b) of concepts say are the same."""
+    e = unique(edges).where("relation_type = 'BELONGS_TO'")
+    one = components(pairs).select(F.col("id").alias("to_node_id"), "component")
+    return e.join(one, "to_node_id", "left").select("from_node_id", F.coalesce("component", "to_node_id").alias("to_node_id"), "relation_type").distinct()
+
+
 def new_edges(built: DataFrame, existing: DataFrame) -> DataFrame:
     """The edges that an append run adds: those that do not exist yet."""
     keys = ["from_node_id", "to_node_id", "relation_type"]
@@ -147,8 +180,26 @@ def reach(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
 
 
 def shortest(edges: DataFrame, starts: DataFrame, targets: str, depth: int) -> DataFrame:
-    """(start, target, depth): hops of the shortest path from each start to each node whose id begins with `targets`."""
-    return reach(edges, starts, depth).where(F.col("node_id").startswith(targets)).select("start", F.col("node_id").alias("target"), "depth")
+    """(start, target, depth, path): a shortest path from each start to each node whose id begins with `targets`.
+
+    Of several of one length the first in the order of the alphabet. Frontiers keep one path a node and start, do not go on
+    from a target, and end when none is left.
+    """
+    e = cut(unique(edges).select(F.col("from_node_id").alias("here"), F.col("to_node_id").alias("next")).distinct())
+    at = starts.select(F.col("node_id").alias("start")).distinct().select("start", F.col("start").alias("node_id"), F.col("start").alias("path"))
+    seen = at.select("start", "node_id")
+    out = None
+    for d in range(1, depth + 1):
+        found = at.join(e, F.col("node_id") == F.col("here")).groupBy("start", F.col("next").alias("node_id")).agg(F.min(F.concat_ws(">", "path", "next")).alias("path"))
+        at = cut(found.join(seen, ["start", "node_id"], "left_anti"))
+        if at.isEmpty() and out is not None:
+            break
+        seen = seen.unionByName(at.select("start", "node_id"))
+        hit = F.col("node_id").startswith(targets)
+        one = at.where(hit).select("start", F.col("node_id").alias("target"), F.lit(d).alias("depth"), "path")
+        out = one if out is None else out.unionByName(one)
+        at = at.where(~hit)
+    return out
 
 
 def concept_confidence(entries: DataFrame, parsed: DataFrame) -> DataFrame:

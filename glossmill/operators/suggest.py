@@ -1,9 +1,11 @@
-"""Full-text suggestions: for a text, the stored texts of its source that hold all its terms, best first.
+"""Full-text suggestions: for a text, the stored texts of its source and mode that hold all its terms, best first.
 
-The index is one row a term and document with its frequency, made by aggregation and kept as a table. Searches are a
-join on the terms. Scores are BM25, rounded to 6 digits; equal scores are ordered by document id. Terms that more than
-COMMON of all documents hold count for the score and are required, but are checked after the candidates are found by the
-rarer terms, so that no search drags the postings of a stop word along.
+The index is one row a source, mode, term and document with its frequency, made by aggregation and kept as a table.
+Searches are a join on the terms. Scores are BM25 over the texts of one source and mode, rounded to 6 digits; equal scores
+are ordered by document id. Terms that more than COMMON of all documents hold count for the score and are required, but
+are checked after the candidates are found by the rarer terms, so that no search drags the postings of a stop word along.
+
+Whole texts are indexed and searched for. Texts without a source or a mode meet nothing, unless the column is left out.
 """
 
 from __future__ import annotations
@@ -12,48 +14,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossmill.functions import text
-from glossmill.session import cut
+from glossmill.session import cut, maybe_broadcast
 
 K1, B = 1.2, 0.75
 COMMON = 0.02
-QUERY_CHARS, DOCUMENT_CHARS, PREVIEW_CHARS = 800, 2000, 120
+#: The least score of a hit, and characters of its preview.
+LEAST = 1.2
+PREVIEW_CHARS = 120
+KEYS = ["source", "mode"]
 
 
 def terms(c: Column) -> Column:
     return text.tokens(c)
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    for k in KEYS:
+        if k not in df.columns:
+            df = df.withColumn(k, F.lit(""))
+    return df
+
+
 def index(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(term, doc_id, tf, length) and (term, df) of documents (doc_id, text)."""
-    d = documents.select("doc_id", terms(F.col("text")).alias("w")).where(F.size("w") > 0)
-    post = cut(d.select("doc_id", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("term", "doc_id", "length").agg(F.count("*").alias("tf")))
-    return post, post.groupBy("term").agg(F.count("*").alias("df"))
+    """(source, mode, term, doc_id, length, tf) and (source, mode, documents, mean) of documents (doc_id, text, and perhaps
+    source and mode): the postings, and the number and mean length of the texts."""
+    d = cut(_keyed(documents).select(*KEYS, "doc_id", terms(F.col("text")).alias("w")).where(F.size("w") > 0))
+    post = cut(d.select(*KEYS, "doc_id", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy(*KEYS, "term", "doc_id", "length").agg(F.count("*").alias("tf")))
+    return post, d.groupBy(*KEYS).agg(F.count("*").alias("documents"), F.avg(F.size("w")).alias("mean"))
 
 
-def search(documents: DataFrame, queries: DataFrame, top: int = 3, least: float = 0.0) -> DataFrame:
-    """(query_id, rank, doc_id, score): the best documents that hold every term of each query (query_id, text).
+def search(documents: DataFrame, queries: DataFrame, top: int = 3, least: float = LEAST) -> DataFrame:
+    """(query_id, mode, rank, doc_id, score, preview): the best documents that hold every term of each query (query_id, text,
+    and perhaps source and mode), of its source and mode.
 
     A document is not suggested for itself. A query whose terms are all common is found by its rarest one.
     """
-    post, df = index(documents)
-    n = post.select("doc_id").distinct().count()
-    if not n:
-        return documents.sparkSession.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    mean = post.select("doc_id", "length").distinct().agg(F.avg("length")).first()[0]
-    q = queries.select("query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
-    q = cut(q.join(df, "term", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("long"))))
-    need = q.groupBy("query_id").agg(F.count("*").alias("need"), F.min("df").alias("rarest"))
-    q = q.join(need.where("rarest > 0"), "query_id")
-    lead = q.where((F.col("df") <= F.lit(max(1, int(COMMON * n)))) | (F.col("df") == F.col("rarest")))
-    wanted = lead.groupBy("query_id").agg(F.count("*").alias("wanted"))
-    held = lead.select("query_id", "term").join(post.select("term", "doc_id"), "term").where("doc_id <> query_id").groupBy("query_id", "doc_id").agg(F.count("*").alias("held"))
-    cand = held.join(wanted, "query_id").where("held = wanted").select("query_id", "doc_id")
-    full = cand.join(q.select("query_id", "term", "df", "need"), "query_id").join(post, ["term", "doc_id"])
-    idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
-    scored = full.groupBy("query_id", "doc_id", "need").agg(F.count("*").alias("has"), F.round(F.sum(weight), 6).alias("score")).where("has = need").where(F.col("score") >= least)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("query_id", "rank", "doc_id", "score")
+    top = min(max(top, 1), 10)
+    post, stats = index(documents)
+    stats = cut(stats)
+    df = cut(post.groupBy(*KEYS, "term").agg(F.count("*").alias("df")))
+    q = _keyed(queries).select(*KEYS, "query_id", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+    q = cut(q.join(df, [*KEYS, "term"], "left").withColumn("df", F.coalesce("df", F.lit(0).cast("long"))).join(maybe_broadcast(stats), KEYS))
+    one = [*KEYS, "query_id"]
+    rare = F.col("df") <= F.greatest(F.lit(1), F.floor(COMMON * F.col("documents")))
+    need = q.groupBy(*one).agg(F.count("*").alias("need"), F.min("df").alias("rarest")).where("rarest > 0")
+    q = cut(q.join(need, one).withColumn("lead", rare | (F.col("df") == F.col("rarest"))))
+    wanted = q.groupBy(*one).agg(F.count_if("lead").alias("wanted"))
+    held = q.where("lead").select(*one, "term").join(post.select(*KEYS, "term", "doc_id"), [*KEYS, "term"]).where("doc_id <> query_id").groupBy(*one, "doc_id").agg(F.count("*").alias("held"))
+    cand = held.join(wanted, one).where("held = wanted").select(*one, "doc_id")
+    full = cand.join(q, one).join(post, [*KEYS, "term", "doc_id"])
+    idf = F.log(1 + (F.col("documents") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+    scored = full.groupBy(*one, "doc_id", "need").agg(F.count("*").alias("has"), F.round(F.sum(weight), 6).alias("score")).where("has = need").where(F.col("score") >= least)
+    w = Window.partitionBy(*one).orderBy(F.desc("score"), "doc_id")
+    best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    shown = _keyed(documents).select(*KEYS, "doc_id", F.substring("text", 1, PREVIEW_CHARS).alias("preview"))
+    return shown.join(maybe_broadcast(cut(best.select(*one, "rank", "doc_id", "score"))), [*KEYS, "doc_id"]).select("query_id", "mode", "rank", "doc_id", "score", "preview")
 
 
 def confidence(score: Column) -> Column:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import display, language, speech, text
-from glossmill.operators import ai, graph, lexicon, references, rewrite, skew, suggest, verify
+from glossmill.operators import ai, extract, graph, lexicon, parse, references, rewrite, skew, suggest, verify
 from glossmill.plans import oracles
-from glossmill.session import spread, table
+from glossmill.session import cut, spread, table
 from glossmill.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -230,7 +230,7 @@ _add("graph_refs_in", lambda e: graph.neighbours(e, graph.REFERENCES, "Sense", r
 _add("graph_words_of_concept", graph.words_of_concepts, EDGE, ENTRY, PARSED)
 _add("graph_degrees", graph.degrees, EDGE)
 _add("graph_concept_confidence", graph.concept_confidence, ENTRY, PARSED)
-_add("graph_rank", lambda e: graph.page_rank(e).select("node_id", F.round("rank", 6).alias("rank")), EDGE)
+_add("graph_rank", lambda e: graph.page_rank(e).select("node_id", F.round(F.col("rank") + 1e-9, 6).alias("rank")), EDGE)
 
 
 @_over(ENTRY, PARSED, LABEL, EDGE)
@@ -309,28 +309,26 @@ def rewrite_job(p: DataFrame, s: DataFrame) -> DataFrame:
 
 
 # Suggestions and merging of several results.
-@_over(PARSED)
-def suggestion_topk(p: DataFrame) -> DataFrame:
-    """For the first four words of every fiftieth definition, the best definitions that hold all of them.
+def _texts(p: DataFrame, mode: str, column: str) -> DataFrame:
+    return p.where(F.col(column).isNotNull() & F.col("source_code").isNotNull()).select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col(column).alias("text"), F.col("source_code").alias("source"), F.lit(mode).alias("mode")).dropDuplicates(["doc_id"])
 
-    Completion of a text that has only begun; suggestion_whole searches by whole texts.
-    """
-    d = p.where("definition IS NOT NULL").select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col("definition").alias("text")).dropDuplicates(["doc_id"])
-    q = d.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(text.tokens(F.col("text")), 1, 4), " ").alias("text"))
-    return suggest.search(d, q)
+
+def _queries(d: DataFrame) -> DataFrame:
+    return d.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
 
 
 @_over(PARSED)
-def suggestion_whole(p: DataFrame) -> DataFrame:
-    """For every fiftieth sense, the best definitions that hold all words of its whole definition, and the best titles
-    that hold all words of its whole meaning_title, each as a mode of its own. Senses without the text have no rows."""
+def suggestion_topk(p: DataFrame) -> DataFrame:
+    """For the whole title of every fiftieth sense, the best definitions of its source that hold all of its words."""
+    return suggest.search(_texts(p, "definition", "definition"), _queries(_texts(p, "definition", "meaning_title")))
 
-    def of(mode: str, column: str) -> DataFrame:
-        d = p.where(F.col(column).isNotNull()).select(F.col("dictionary_entry_parsed_id").alias("doc_id"), F.col(column).alias("text")).dropDuplicates(["doc_id"])
-        q = d.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text")
-        return suggest.search(d, q).select(F.lit(mode).alias("mode"), "query_id", "rank", "doc_id", "score")
 
-    return of("definition", "definition").unionByName(of("title", "meaning_title"))
+@_over(PARSED)
+def suggestion_whole(p: DataFrame) -> DataFrame:
+    """For every fiftieth sense, the best definitions of its source that hold all words of its whole definition, and the best
+    titles that hold all words of its whole title, each as a mode of its own. Senses without the text have no rows."""
+    d = _texts(p, "definition", "definition").unionByName(_texts(p, "title", "meaning_title"))
+    return suggest.search(d, _queries(d))
 
 
 @_over(SYNONYM)
@@ -407,11 +405,121 @@ def suggestion_pairs(p: DataFrame) -> DataFrame:
 
 @_over(PARSED)
 def duplicate_senses(p: DataFrame) -> DataFrame:
-    """(dictionary_entry_id, kept, dropped): senses of one entry whose definitions have the same words in any order."""
+    """(kept, dropped): senses whose definitions have the same words in any order; the first one stays."""
     words = F.array_join(F.array_sort(F.array_distinct(text.tokens(F.col("definition")))), " ")
-    k = p.select("dictionary_entry_id", "dictionary_entry_parsed_id", F.md5(words).alias("k")).where(words != "").distinct()
-    g = k.groupBy("dictionary_entry_id", "k").agg(F.min("dictionary_entry_parsed_id").alias("kept"), F.count("*").alias("senses")).where("senses > 1")
-    return skew.attach(k, g, ["dictionary_entry_id", "k"], "senses").where("dictionary_entry_parsed_id <> kept").select("dictionary_entry_id", "kept", F.col("dictionary_entry_parsed_id").alias("dropped"))
+    k = p.select("dictionary_entry_parsed_id", F.md5(words).alias("k")).where(words != "").distinct()
+    g = k.groupBy("k").agg(F.min("dictionary_entry_parsed_id").alias("kept"), F.count("*").alias("senses")).where("senses > 1")
+    return skew.attach(k, cut(g), ["k"], "senses").where("dictionary_entry_parsed_id <> kept").select("kept", F.col("dictionary_entry_parsed_id").alias("dropped"))
+
+
+def _parts(c: str) -> Column:
+    return F.filter(F.transform(F.split(c, "[;,] "), text.trim), lambda x: x != "")
+
+
+@_over(PARSED)
+def jaccard_dedupe(p: DataFrame) -> DataFrame:
+    """Parts of a definition, and how many are left without those that share half their words with one before them."""
+    x = p.where("definition IS NOT NULL").select("dictionary_entry_parsed_id", _parts("definition").alias("x")).distinct()
+    return x.select("dictionary_entry_parsed_id", F.size("x").alias("parts"), F.size(text.unlike(F.col("x"), text.word_similarity, 0.5)).alias("kept")).where("parts > 1")
+
+
+@_over(PARSED)
+def fuzzy_dedupe(p: DataFrame) -> DataFrame:
+    """The same by letters: parts that need few edits to be one before them are left out."""
+    x = p.where("definition IS NOT NULL").select("dictionary_entry_parsed_id", _parts("definition").alias("x")).distinct()
+    return x.select("dictionary_entry_parsed_id", F.size("x").alias("parts"), F.size(text.unlike(F.col("x"), text.letter_similarity, 60.0)).alias("kept")).where("kept < parts")
+
+
+# The parse stage over entries made of senses: what each definition says beside its meaning.
+def _said(p: DataFrame) -> DataFrame:
+    """Senses as entries of a source, with a remark of one of several forms behind the definition."""
+    i = F.col("dictionary_entry_parsed_id") % 7
+    other = F.coalesce(F.nullif(F.regexp_extract("alias", r"([A-Za-z]+)", 1), F.lit("")), F.lit("thing"))
+    remark = (
+        F.when(i == 0, F.concat("meaning_title", F.lit(" means the same as "), other)).when(i == 1, F.concat(F.lit("A kind of thing, also called "), other)).when(i == 2, F.concat("definition", F.lit(". See also "), other))
+        .when(i == 3, F.concat("meaning_title", F.lit(" is "), other)).when(i == 4, F.concat("definition", F.lit("\nOrigin: Old French "), other)).when(i == 5, F.concat(F.lit("Shown by “it is the way of "), other, F.lit("” and compare "), other))
+        .otherwise(F.concat("meaning_title", F.lit(" or "), other, F.lit(", n. of two kinds")))
+    )
+    one = p.where("meaning_title IS NOT NULL AND definition IS NOT NULL").dropDuplicates(["dictionary_entry_parsed_id"])
+    return one.select("dictionary_entry_parsed_id", F.col("dictionary_entry_parsed_id").alias("dictionary_entry_id"), F.col("meaning_title").alias("word"), remark.alias("definition"), F.col("raw_fragment"), "sense_number", "source_code", "domain", "alias")
+
+
+@_over(PARSED)
+def synonym_patterns(p: DataFrame) -> DataFrame:
+    """(dictionary_entry_parsed_id, synonym, confidence, level): the surest phrase for each synonym."""
+    return extract.synonyms(_said(p), "dictionary_entry_parsed_id", "word", "definition", "source_code")
+
+
+@_over(PARSED)
+def sense_references(p: DataFrame) -> DataFrame:
+    x = _said(p).select("dictionary_entry_parsed_id", F.explode(extract.references(F.col("definition"))).alias("r"))
+    return x.select("dictionary_entry_parsed_id", "r.target", "r.type").distinct()
+
+
+@_over(PARSED)
+def sense_examples(p: DataFrame) -> DataFrame:
+    return _said(p).select("dictionary_entry_parsed_id", F.explode(extract.examples(F.col("definition"))).alias("example"))
+
+
+@_over(PARSED)
+def sense_origins(p: DataFrame) -> DataFrame:
+    x = _said(p).select("dictionary_entry_parsed_id", extract.etymology(F.col("definition"), lexicon.LANGUAGES).alias("o")).where("o IS NOT NULL")
+    return x.select("dictionary_entry_parsed_id", "o.etymology", "o.language_code", "o.rest")
+
+
+@_over(PARSED)
+def sense_domains(p: DataFrame) -> DataFrame:
+    return p.select("dictionary_entry_parsed_id", extract.domain(F.col("source_code"), F.col("domain"), F.col("definition")).alias("value")).distinct()
+
+
+@_over(PARSED)
+def header_pos(p: DataFrame) -> DataFrame:
+    return _said(p).select("dictionary_entry_parsed_id", extract.header_pos(F.col("definition")).alias("pos")).where("pos IS NOT NULL")
+
+
+@_over(PARSED)
+def parse_tables(p: DataFrame) -> DataFrame:
+    """How many rows a parse run writes to each of its tables."""
+    t = parse.parse(_said(p))
+    out = None
+    for name in ("senses", "aliases", "synonyms", "examples", "references", "etymologies", "other_languages"):
+        one = getattr(t, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@_over(PARSED)
+def parse_manifest(p: DataFrame) -> DataFrame:
+    return parse.manifest(parse.parse(_said(p)))
+
+
+_each("cjk_strip", PARSED, "dictionary_entry_parsed_id", "definition", lambda c: text.without_cjk_marks(text.without_cjk(c)))
+_each("domain_marker_strip", PARSED, "dictionary_entry_parsed_id", "alias", lambda c: text.without_domain_marker(F.concat(F.lit("(law) "), c)))
+_each("headword_flags", ENTRY, "dictionary_entry_id", "word", text.is_headword)
+
+
+@_over(CANONICAL)
+def syllables_by_locale(c: DataFrame) -> DataFrame:
+    """Canonical words with `ion` behind them, parted as in en-UK."""
+    x = c.select("canonical_word_id", speech.spelling_syllables(F.concat("normalized_word", F.lit("tion"))).alias("s"))
+    return x.select("canonical_word_id", F.element_at(speech.by_locale(F.col("s"), F.lit("en-UK")), -1).alias("last"), F.element_at(speech.by_locale(F.col("s"), F.lit("en-US")), -1).alias("last_us"))
+
+
+@_over(ENTRY, CANONICAL)
+def pronunciation_match(e: DataFrame, c: DataFrame) -> DataFrame:
+    """(matched, words): words of a pronunciation table that are canonical words, compared without case, and those that aren't."""
+    w = e.where("word IS NOT NULL").select(F.lower(text.trim(F.col("word"))).alias("word")).distinct()
+    known = c.select(F.lower("normalized_word").alias("word"), F.lit(True).alias("known")).distinct()
+    return w.join(known, "word", "left").groupBy(F.coalesce("known", F.lit(False)).alias("matched")).agg(F.count("*").alias("words"))
+
+
+@_over(PARSED)
+def senses_by_entry(p: DataFrame) -> DataFrame:
+    """The first ten senses of each entry as one ordered list."""
+    n = lexicon.running_senses(p).where("running <= 10")
+    s = p.select("dictionary_entry_parsed_id", "dictionary_entry_id").distinct().join(n, "dictionary_entry_parsed_id")
+    ordered = F.sort_array(F.collect_list(F.struct("running", "dictionary_entry_parsed_id")))
+    return s.where("dictionary_entry_id IS NOT NULL").groupBy("dictionary_entry_id").agg(F.array_join(F.transform(ordered, lambda x: x["dictionary_entry_parsed_id"].cast("string")), ",").alias("senses"))
 
 
 QUERIES["stream_canonical_words"] = incremental.canonical_words_once

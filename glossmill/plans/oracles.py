@@ -1,10 +1,19 @@
-"""SQL for DuckDB that gives the same rows as the queries of catalogue.py. Values repeat the fixed values of the operators."""
+"""SQL for DuckDB that gives the same rows as the queries of catalogue.py. Nothing is taken from the operators."""
 
 from __future__ import annotations
 
-from glossmill.functions.text import PARTS_OF_SPEECH, SPACE
-from glossmill.operators.lexicon import LANGUAGES, SHORT_WORDS
-from glossmill.operators.rewrite import SMALL
+#: White space of any script, for RE2.
+SPACE = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# Spelt out here and not taken from the operators, so that an error in their tables shows.
+_SPELLINGS = {
+    "noun": "noun n. n", "verb": "verb v. v vi. vt.", "adj": "adjective adj. adj", "adv": "adverb adv. adv", "preposition": "preposition prep. prep", "pronoun": "pronoun pron. pron", "conjunction": "conjunction conj. conj",
+    "exclamation": "interjection interj. exclamation", "determiner": "determiner det. article", "numeral": "numeral", "particle": "particle", "phrase": "phrase", "prefix": "prefix pref.", "suffix": "suffix suf.", "abbreviation": "abbreviation abbr.", "symbol": "symbol",
+}
+PARTS_OF_SPEECH = {k: v for v, ks in _SPELLINGS.items() for k in ks.split()}
+SHORT_WORDS = "('a', 'i', 'an', 'be', 'is', 'am', 'to', 'do', 'go', 'no', 'so')"
+SMALL = "('a', 'an', 'and', 'as', 'at', 'but', 'by', 'for', 'from', 'in', 'into', 'nor', 'of', 'on', 'or', 'over', 'per', 'so', 'the', 'to', 'up', 'via', 'with', 'yet')"
+_CODES = "old english ang, middle english enm, old french fro, old norse non, latin la, greek el, french fr, german de, dutch nl, italian it, spanish es, portuguese pt, arabic ar, hebrew he, sanskrit sa, persian fa, hindi hi, chinese zh, japanese ja, russian ru, welsh cy, malay ms"
+LANGUAGES = dict(x.rsplit(" ", 1) for x in _CODES.split(", "))
 
 SQL: dict[str, str] = {}
 
@@ -135,7 +144,7 @@ def _synonym(c: str) -> str:
 
 
 SQL["synonym_clean"] = f"SELECT DISTINCT dictionary_entry_synonym_id, {_synonym('synonym_text')} AS value FROM dictionary_entry_synonym"
-_BAD = r"(?i)\b(syn|synonyms?|see|see also|etc|viz|cf|pl|sing|vb|vb\.n|imp|p\.p|p\.pr|comp|superl|shak|chaucer|milton|dryden|lowell|tennyson|wordsworth|bible)\b"
+_BAD = r"(?i)\b(syn|synonym|synonyms|see|etc|viz|cf|pl|sing|vb|imp|comp|superl|shak|chaucer|milton|dryden|lowell|tennyson|wordsworth|bible)\b"
 _VALID_SYNONYMS = f"""
 s AS (SELECT dictionary_entry_parsed_id, {_synonym('synonym_text')} AS synonym, source_code FROM dictionary_entry_synonym),
 h AS (SELECT dictionary_entry_parsed_id, min(meaning_title) AS head FROM dictionary_entry_parsed GROUP BY 1),
@@ -261,6 +270,16 @@ SELECT 'Word:' || e.canonical_word_id AS from_node_id, 'Sense:' || p.dictionary_
 UNION SELECT 'Sense:' || dictionary_entry_parsed_id, 'Sense:' || parent_parsed_id, 'SUB_SENSE_OF' FROM dictionary_entry_parsed WHERE parent_parsed_id IS NOT NULL
 UNION SELECT 'Sense:' || dictionary_entry_parsed_id, 'Concept:' || dictionary_entry_parsed_id, 'BELONGS_TO' FROM dictionary_entry_parsed
 UNION SELECT 'Sense:' || dictionary_entry_parsed_id, 'Domain:' || label_id, 'IN_DOMAIN' FROM dictionary_entry_parsed JOIN label_catalog ON label_kind = 'domain' AND canonical_label = domain"""
+_REFERRED = r"""
+SELECT DISTINCT s, word, k FROM (
+  SELECT dictionary_entry_parsed_id AS s, unnest(regexp_extract_all(definition, '(?i)\bsee also ([A-Za-z][\w''-]*)', 1)) AS word, 'RELATED_TO' AS k FROM dictionary_entry_parsed
+  UNION ALL SELECT dictionary_entry_parsed_id, unnest(regexp_extract_all(definition, '(?i)\b(?:compare|cf\.) ([A-Za-z][\w''-]*)', 1)), 'COMPARE' FROM dictionary_entry_parsed
+  UNION ALL SELECT dictionary_entry_parsed_id, unnest(list_filter(regexp_extract_all(definition, '(?i)\bsee ([A-Za-z][\w''-]*)', 1), lambda w: lower(w) <> 'also')), 'SEE' FROM dictionary_entry_parsed)"""
+_BUILT += f"""
+UNION SELECT 'Sense:' || r.s, 'Sense:' || p.dictionary_entry_parsed_id, r.k FROM ({_REFERRED}) r JOIN dictionary_entry e ON lower(e.normalized_word) = lower(trim(r.word, '"''“”‘’.,;:!?()[]{{}}'))
+JOIN dictionary_entry_parsed p ON p.dictionary_entry_id = e.dictionary_entry_id WHERE p.dictionary_entry_parsed_id <> r.s
+UNION SELECT 'Word:' || e.canonical_word_id, 'Language:' || l.label_id, 'DERIVED_FROM' FROM dictionary_entry e JOIN label_catalog l ON l.label_kind = 'language'
+AND regexp_matches(' ' || regexp_replace(lower(e.etymology), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ', ' ' || lower(l.canonical_label) || ' ') WHERE e.canonical_word_id IS NOT NULL"""
 SQL["graph_edges"] = _BUILT
 SQL["graph_append"] = f"""SELECT relation_type, count(*) AS added FROM ({_BUILT}) b WHERE NOT EXISTS (SELECT 1 FROM graph_edge g WHERE g.from_node_id = b.from_node_id AND g.to_node_id = b.to_node_id AND g.relation_type = b.relation_type) GROUP BY relation_type"""
 _KNOWN = "(SELECT node_id FROM graph_node WHERE node_id IS NOT NULL)"
@@ -289,7 +308,20 @@ WITH RECURSIVE e AS MATERIALIZED (SELECT DISTINCT from_node_id, to_node_id FROM
   SELECT from_node_id AS start, to_node_id AS node_id, 1 AS depth FROM e WHERE from_node_id LIKE 'Word:%'
   UNION SELECT r.start, e.to_node_id, r.depth + 1 FROM r JOIN e ON e.from_node_id = r.node_id WHERE r.depth < {{0}})"""
 SQL["graph_reach"] = _REACH.format(3) + "SELECT start, node_id, min(depth) AS depth FROM r GROUP BY start, node_id"
-SQL["graph_shortest_path"] = _REACH.format(4) + "SELECT start, node_id AS target, min(depth) AS depth FROM r WHERE node_id LIKE 'Domain:%' GROUP BY start, node_id"
+SQL["graph_shortest_path"] = "WITH e AS MATERIALIZED (SELECT DISTINCT from_node_id AS a, to_node_id AS b FROM " + EDGES + "), p0 AS (SELECT DISTINCT a AS start, a AS node, a AS path FROM e WHERE a LIKE 'Word:%'), s0 AS (SELECT start, node FROM p0)"
+for _i in range(1, 5):
+    _ok = "" if _i == 1 else "AND p.node NOT LIKE 'Domain:%'"
+    SQL["graph_shortest_path"] += f""", p{_i} AS (SELECT n.* FROM (SELECT p.start, e.b AS node, min(p.path || '>' || e.b) AS path FROM p{_i - 1} p JOIN e ON e.a = p.node {_ok} GROUP BY p.start, e.b) n ANTI JOIN s{_i - 1} s ON s.start = n.start AND s.node = n.node),
+s{_i} AS (SELECT * FROM s{_i - 1} UNION ALL SELECT start, node FROM p{_i})"""
+SQL["graph_shortest_path"] += " UNION ALL ".join([""] + [f"SELECT start, node AS target, {_i} AS depth, path FROM p{_i} WHERE node LIKE 'Domain:%'" for _i in range(1, 5)])[len(" UNION ALL"):]
+_RANKED = "WITH e AS MATERIALIZED (SELECT DISTINCT from_node_id AS a, to_node_id AS b FROM " + EDGES + "), o AS (SELECT a, count(*) AS n FROM e GROUP BY a), v AS (SELECT a AS id FROM e UNION SELECT b FROM e), r0 AS (SELECT id, 1.0::DOUBLE AS r FROM v)"
+for _i in range(1, 6):
+    _RANKED += f", r{_i} AS (SELECT v.id, 0.15::DOUBLE + 0.85::DOUBLE * coalesce(g.got, 0) AS r FROM v LEFT JOIN (SELECT e.b AS id, sum(p.r / o.n) AS got FROM e JOIN o USING (a) JOIN r{_i - 1} p ON p.id = e.a GROUP BY e.b) g USING (id))"
+SQL["graph_rank"] = _RANKED + " SELECT id AS node_id, round(r + 1e-9::DOUBLE, 6) AS rank FROM r5"
+SQL["graph_components"] = f"""
+WITH RECURSIVE l AS MATERIALIZED (SELECT from_node_id AS a, to_node_id AS b FROM {EDGES} WHERE relation_type IN ('SEE', 'RELATED_TO', 'COMPARE') AND from_node_id <> to_node_id),
+u AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l), c AS (SELECT a AS id, a AS other FROM u UNION SELECT c.id, u.b FROM c JOIN u ON u.a = c.other)
+SELECT id, min(other) AS component FROM c GROUP BY id"""
 
 _PAIRS = f"""(SELECT source_code, synonym_text AS from_text, {_synonym('synonym_text')} AS to_text,
   CASE WHEN has_non_english_text THEN 0.55 WHEN contains(synonym_text, ' ') THEN 0.7 ELSE 0.9 END AS confidence FROM {SYNONYMS})"""
@@ -315,30 +347,28 @@ def _share(p: str) -> str:
 _T = _trim("synonym_text")
 SQL["suggestion_safe"] = f"""SELECT DISTINCT dictionary_entry_synonym_id, coalesce(length({_T}) > 3 AND length({_T}) <= 80 AND NOT regexp_matches({_T}, '[\\n\\r\\t]') AND {_share('\\p{{Nd}}'.format())} < 0.2
   AND {_share('[^\\p{{L}}\\p{{Nd}}]'.format())} < 0.35 AND NOT ends_with({_T}, ':'), false) AS safe FROM dictionary_entry_synonym"""
-SQL["suggestion_topk"] = r"""
-WITH d AS (SELECT DISTINCT dictionary_entry_parsed_id AS doc_id, list_filter(string_split_regex(lower(definition), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM dictionary_entry_parsed WHERE definition IS NOT NULL),
-x AS (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM d), post AS (SELECT term, doc_id, length, count(*) AS tf FROM x GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-n AS (SELECT count(*) AS n, avg(length) AS mean FROM (SELECT DISTINCT doc_id, length FROM post)),
-q AS (SELECT doc_id AS query_id, unnest(list_distinct(w[1:4])) AS term FROM d WHERE doc_id % 50 = 0), need AS (SELECT query_id, count(*) AS need FROM q GROUP BY query_id),
-s AS (SELECT q.query_id, p.doc_id, count(*) AS has, round(sum(ln(1 + (n.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.length / n.mean))), 6) AS score
-  FROM q JOIN df USING (term) JOIN post p USING (term), n WHERE p.doc_id <> q.query_id GROUP BY q.query_id, p.doc_id)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN need USING (query_id) WHERE has = need
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 3"""
-
-
-def _whole(mode: str, column: str) -> str:
+
+
+def _search(stored: str, asked: str) -> str:
+    """stored and asked: doc_id, source, mode, text."""
+    words = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
     return rf"""
-SELECT * FROM (WITH d AS (SELECT DISTINCT dictionary_entry_parsed_id AS doc_id, list_filter(string_split_regex(lower({column}), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM dictionary_entry_parsed WHERE {column} IS NOT NULL),
-x AS (SELECT doc_id, len(w) AS length, unnest(w) AS term FROM d), post AS (SELECT term, doc_id, length, count(*) AS tf FROM x GROUP BY ALL), df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-n AS (SELECT count(*) AS n, avg(length) AS mean FROM (SELECT DISTINCT doc_id, length FROM post)),
-q AS (SELECT doc_id AS query_id, unnest(list_distinct(w)) AS term FROM d WHERE doc_id % 50 = 0), need AS (SELECT query_id, count(*) AS need FROM q GROUP BY query_id),
-s AS (SELECT q.query_id, p.doc_id, count(*) AS has, round(sum(ln(1 + (n.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.length / n.mean))), 6) AS score
-  FROM q JOIN df USING (term) JOIN post p USING (term), n WHERE p.doc_id <> q.query_id GROUP BY q.query_id, p.doc_id)
-SELECT '{mode}' AS mode, query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN need USING (query_id) WHERE has = need
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 3)"""
+WITH d AS (SELECT DISTINCT doc_id, source, mode, text, {words} AS w FROM ({stored})), x AS (SELECT source, mode, doc_id, len(w) AS length, unnest(w) AS term FROM d), post AS (SELECT source, mode, term, doc_id, length, count(*) AS tf FROM x GROUP BY ALL),
+df AS (SELECT source, mode, term, count(*) AS df FROM post GROUP BY ALL), n AS (SELECT source, mode, count(*) AS n, avg(len(w)) AS mean FROM d WHERE len(w) > 0 GROUP BY ALL),
+q AS (SELECT DISTINCT doc_id AS query_id, source, mode, unnest({words}) AS term FROM ({asked}) WHERE doc_id % 50 = 0), need AS (SELECT query_id, mode, count(*) AS need FROM q GROUP BY ALL),
+s AS (SELECT q.query_id, q.source, q.mode, p.doc_id, count(*) AS has, round(sum(ln(1 + (n.n - df.df + 0.5) / (df.df + 0.5)) * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * p.length / n.mean))), 6) AS score
+  FROM q JOIN df USING (source, mode, term) JOIN post p USING (source, mode, term) JOIN n USING (source, mode) WHERE p.doc_id <> q.query_id GROUP BY ALL)
+SELECT s.query_id, s.mode, row_number() OVER (PARTITION BY s.query_id, s.mode ORDER BY s.score DESC, s.doc_id)::INT AS rank, s.doc_id, s.score, substring(d.text, 1, 120) AS preview
+FROM s JOIN need USING (query_id, mode) JOIN d ON d.doc_id = s.doc_id AND d.source = s.source AND d.mode = s.mode WHERE has = need AND score >= 1.2 QUALIFY row_number() OVER (PARTITION BY s.query_id, s.mode ORDER BY s.score DESC, s.doc_id) <= 3"""
+
+
+def _stored(mode: str, column: str) -> str:
+    return f"SELECT dictionary_entry_parsed_id AS doc_id, source_code AS source, '{mode}' AS mode, {column} AS text FROM dictionary_entry_parsed WHERE {column} IS NOT NULL AND source_code IS NOT NULL"
 
 
-SQL["suggestion_whole"] = f"{_whole('definition', 'definition')} UNION ALL {_whole('title', 'meaning_title')}"
+_BOTH = _stored("definition", "definition") + " UNION ALL " + _stored("title", "meaning_title")
+SQL["suggestion_topk"] = _search(_stored("definition", "definition"), _stored("definition", "meaning_title"))
+SQL["suggestion_whole"] = _search(_BOTH, _BOTH)
 SQL["ai_consensus"] = f"""SELECT dictionary_entry_parsed_id AS item_id, synonym_text AS answer FROM {SYNONYMS} WHERE NOT {_blank('synonym_text')}
 QUALIFY row_number() OVER (PARTITION BY dictionary_entry_parsed_id ORDER BY length(synonym_text) DESC, dictionary_entry_synonym_id) = 1"""
 SQL["ai_first_success"] = f"""SELECT dictionary_entry_parsed_id AS item_id, synonym_text AS answer FROM {SYNONYMS} WHERE NOT {_blank('synonym_text')}
@@ -355,6 +385,76 @@ _CAPITAL = f"CASE WHEN NOT {_blank('domain')} THEN upper(substring({_squeeze('do
 SQL["format_labels"] = f"SELECT DISTINCT dictionary_entry_parsed_id, {_CAPITAL} AS domain, CASE WHEN NOT {_blank('usage_label')} THEN lower({_squeeze('usage_label')}) END AS usage_label FROM dictionary_entry_parsed"
 SQL["format_etymology"] = f"SELECT DISTINCT dictionary_entry_id, CASE WHEN NOT {_blank('etymology')} THEN {_squeeze('regexp_replace(' + _trim('etymology') + r", '^\[(.*)\]$', '\1')")} END AS value FROM dictionary_entry"
 SQL["duplicate_senses"] = r"""
-WITH k AS (SELECT DISTINCT dictionary_entry_id, dictionary_entry_parsed_id, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(definition), '[^\p{L}\p{N}]+'), lambda w: w <> ''))), ' ') AS k FROM dictionary_entry_parsed),
-m AS (SELECT *, min(dictionary_entry_parsed_id) OVER (PARTITION BY dictionary_entry_id, k) AS kept FROM k WHERE k <> '')
-SELECT dictionary_entry_id, kept, dictionary_entry_parsed_id AS dropped FROM m WHERE dictionary_entry_parsed_id <> kept"""
+WITH k AS (SELECT DISTINCT dictionary_entry_parsed_id, array_to_string(list_sort(list_distinct(list_filter(string_split_regex(lower(definition), '[^\p{L}\p{N}]+'), lambda w: w <> ''))), ' ') AS k FROM dictionary_entry_parsed),
+m AS (SELECT *, min(dictionary_entry_parsed_id) OVER (PARTITION BY k) AS kept FROM k WHERE k <> '')
+SELECT kept, dictionary_entry_parsed_id AS dropped FROM m WHERE dictionary_entry_parsed_id <> kept"""
+
+# What definitions say beside their meaning.
+_SAID = rf"""said AS (SELECT dictionary_entry_parsed_id AS id, meaning_title AS word, source_code AS s, coalesce(sense_number, 1) AS number, coalesce(nullif(regexp_extract(alias, '([A-Za-z]+)', 1), ''), 'thing') AS other, definition AS d0, id % 7 AS i,
+  CASE i WHEN 0 THEN word || ' means the same as ' || other WHEN 1 THEN 'A kind of thing, also called ' || other WHEN 2 THEN d0 || '. See also ' || other WHEN 3 THEN word || ' is ' || other
+  WHEN 4 THEN d0 || chr(10) || 'Origin: Old French ' || other WHEN 5 THEN 'Shown by “it is the way of ' || other || '” and compare ' || other ELSE word || ' or ' || other || ', n. of two kinds' END AS d FROM {SENSES} WHERE meaning_title IS NOT NULL AND definition IS NOT NULL)"""
+_OTHER = "lower(other)"
+_HEAD = _trim("regexp_replace(lower(word), '[★☆●○▶]', '', 'g')")
+SQL["sense_references"] = rf"""WITH {_SAID}, r AS (
+  SELECT id, unnest(regexp_extract_all(d, '(?i)\bsee also ([A-Za-z][\w''-]*)', 1)) AS w, 'see also' AS type FROM said UNION ALL SELECT id, unnest(regexp_extract_all(d, '(?i)\b(?:compare|cf\.) ([A-Za-z][\w''-]*)', 1)), 'compare' FROM said
+  UNION ALL SELECT id, unnest(list_filter(regexp_extract_all(d, '(?i)\bsee ([A-Za-z][\w''-]*)', 1), lambda w: lower(w) <> 'also')), 'see' FROM said)
+SELECT DISTINCT id AS dictionary_entry_parsed_id, lower(trim(w, '"''“”‘’.,;:!?()[]{{}}')) AS target, type FROM r"""
+SQL["sense_origins"] = rf"""WITH {_SAID}, o AS (SELECT id, d, regexp_extract(d, '(?i)\b(?:etymology|origin):?\s*([^\n]+)', 1) AS line FROM said)
+SELECT id AS dictionary_entry_parsed_id, {_trim('line')} AS etymology, CASE {" ".join(f"WHEN contains(lower(line), '{k}') THEN '{v}'" for k, v in LANGUAGES.items())} END AS language_code,
+  {_trim("regexp_replace(d, '(?i)" + chr(92) + "b(?:etymology|origin):?" + chr(92) + "s*[^" + chr(92) + "n]+', '', 'g')")} AS rest FROM o WHERE {_trim('line')} <> ''"""
+SQL["header_pos"] = rf"""WITH {_SAID} SELECT id AS dictionary_entry_parsed_id, CASE c WHEN 'a.' THEN 'adj' WHEN 'n.' THEN 'noun' ELSE 'verb' END AS pos FROM (SELECT id, lower(regexp_extract(d, '(?i),\s*(v\.t\.|v\.i\.|v\.|a\.|n\.)', 1)) AS c FROM said) WHERE c <> ''"""
+_DOM, _DEF = _trim("domain"), "definition"
+SQL["sense_domains"] = rf"""SELECT DISTINCT dictionary_entry_parsed_id, CASE WHEN {_blank('domain')} THEN NULL
+  WHEN source_code = 'ENG_OXFORD' THEN substring({_trim("split_part(nullif(" + _trim("regexp_extract(definition, '^" + chr(92) + "(([^)]+)" + chr(92) + ")', 1)") + ", ''), '.', 1)")}, 1, 100)
+  WHEN source_code = 'ENG_COLLINS' THEN CASE WHEN starts_with({_DOM}, '【语域标签】：') THEN split_part({_trim("replace(" + _DOM + ", '【语域标签】：', '')")}, ' ', 1) WHEN regexp_matches({_DEF}, '主美|美式') THEN 'US' WHEN regexp_matches({_DEF}, '主英|英式') THEN 'UK' WHEN contains({_DEF}, '正式') THEN 'FORMAL' END
+  WHEN source_code IN ('STRUCT_JSON', 'KAIKKI') THEN substring({_trim("regexp_replace(" + _DOM + ", '[<>()]', '', 'g')")}, 1, 50)
+  WHEN source_code = 'GUT_WEBSTER' THEN regexp_replace(nullif({_trim("regexp_extract(" + _DOM + ", '[<(]([^>)]+)[>)]', 1)")}, ''), '\.+$', '') WHEN source_code = 'CENTURY21' THEN NULL
+  WHEN source_code = 'ENG_CHN' THEN nullif({_trim("regexp_extract(definition, '〔([^〕]+)〕', 1)")}, '') WHEN length({_DOM}) > 100 OR regexp_matches({_DOM}, '(?i)hours|days|weeks|minutes|seconds|o''clock') THEN NULL
+  ELSE nullif({_trim("regexp_replace(" + _DOM + ", '[一-鿿]', '', 'g')")}, '') END AS value FROM dictionary_entry_parsed"""
+_OK = rf"regexp_matches({_OTHER}, '^[a-z''-]{{2,}}$') AND regexp_matches(h, '^[a-z''-]{{2,}}$') AND {_OTHER} <> h"
+SQL["synonym_patterns"] = rf"""WITH {_SAID}, h AS (SELECT *, {_HEAD} AS h FROM said), c AS (
+  SELECT id, {_OTHER} AS synonym, CASE WHEN i = 0 AND s = 'ENG_COLLINS' AND regexp_matches(h, '^\w+$') THEN 100 WHEN i = 0 AND s = 'ENG_COLLINS' THEN 100 WHEN i = 1 AND s = 'ENG_COLLINS' THEN 60 WHEN i = 2 AND s = 'ENG_COLLINS' THEN 30
+    WHEN i = 3 AND s IN ('ENG_OXFORD', 'ENG_CHN') THEN 100 WHEN i = 3 AND coalesce(s, '') <> 'ENG_COLLINS' THEN 60 WHEN i = 6 AND s = 'ENG_COLLINS' THEN 60 END AS confidence FROM h WHERE {_OK})
+SELECT id AS dictionary_entry_parsed_id, synonym, confidence, CASE confidence WHEN 100 THEN 'high' WHEN 60 THEN 'medium' ELSE 'low' END AS level FROM c WHERE confidence IS NOT NULL"""
+SQL["cjk_strip"] = f"SELECT DISTINCT dictionary_entry_parsed_id, {_trim('regexp_replace(' + _trim('regexp_replace(definition, ' + chr(39) + '[' + chr(92) + 'x{4E00}-' + chr(92) + 'x{9FFF}' + chr(92) + 'x{3400}-' + chr(92) + 'x{4DBF}' + chr(92) + 'x{F900}-' + chr(92) + 'x{FAFF}]' + chr(39) + ', ' + chr(39) * 2 + ', ' + chr(39) + 'g' + chr(39) + ')') + ', ' + chr(39) + '[，。、；：！？【】（）《》〈〉「」『』]' + chr(39) + ', ' + chr(39) * 2 + ', ' + chr(39) + 'g' + chr(39) + ')')} AS value FROM dictionary_entry_parsed"
+SQL["domain_marker_strip"] = f"SELECT DISTINCT dictionary_entry_parsed_id, {_trim('alias')} AS value FROM dictionary_entry_parsed"
+_W = _trim("word")
+SQL["headword_flags"] = rf"SELECT DISTINCT dictionary_entry_id, coalesce(length({_W}) <= 40 AND upper({_W}) = {_W} AND regexp_matches({_W}, '\p{{L}}'), false) AS value FROM dictionary_entry"
+SQL["pronunciation_match"] = f"""SELECT c.w IS NOT NULL AS matched, count(*) AS words FROM (SELECT DISTINCT lower({_W}) AS w FROM dictionary_entry WHERE word IS NOT NULL) e LEFT JOIN (SELECT DISTINCT lower(normalized_word) AS w FROM canonical_word) c ON c.w = e.w GROUP BY 1"""
+SQL["senses_by_entry"] = f"""WITH r AS (SELECT dictionary_entry_id, dictionary_entry_parsed_id, row_number() OVER (PARTITION BY dictionary_entry_id ORDER BY sense_number NULLS LAST, dictionary_entry_parsed_id) AS n FROM {SENSES})
+SELECT dictionary_entry_id, string_agg(dictionary_entry_parsed_id::VARCHAR, ',' ORDER BY n) AS senses FROM r WHERE n <= 10 AND dictionary_entry_id IS NOT NULL GROUP BY 1"""
+
+_JAPANESE_KOREAN = (("latin", _LA), ("chinese", _HAN), ("japanese", _JA), ("korean", _KO), ("ipa", _IPA))
+_REST = r"coalesce(regexp_replace(text, '[\s\p{P}]', '', 'g'), '')"
+_LEFT, _COUNTS = "r", {}
+for _k, _s in (("ipa", _IPA), ("latin", _LA), ("chinese", _HAN), ("japanese", _JA), ("korean", _KO)):
+    _COUNTS[_k] = f"length(regexp_replace({_LEFT}, '[^{_s}]', '', 'g'))"
+    _LEFT = f"regexp_replace({_LEFT}, '[{_s}]', '', 'g')"
+_COUNTS["other"] = f"length({_LEFT})"
+SQL["language_distribution"] = f"SELECT doc_id, {', '.join(f'CASE WHEN length(r) > 0 THEN round({v} * 100.0::DOUBLE / length(r), 4) ELSE 0 END::DOUBLE AS {k}' for k, v in _COUNTS.items())} FROM (SELECT doc_id, {_REST} AS r FROM documents)"
+SQL["example_filter"] = rf"""
+WITH s AS (SELECT unnest(string_split_regex(text, '[.!?]+\s+|\n+')) AS x FROM documents), t AS (SELECT {_trim("x || '.'")} AS t, string_split_regex(lower({_trim("x || '.'")}), '[^\p{{L}}\p{{N}}_]+') AS w FROM s WHERE x <> '')
+SELECT length(t) BETWEEN 6 AND 400 AND regexp_matches(t, '^\p{{L}}') AND NOT regexp_matches(t, '[()\[\]【】]') AND NOT regexp_matches(t, '(?i)^s\s') AND len(list_filter(string_split(t, ' '), lambda v: v <> '')) >= 3
+  AND NOT list_has_any(w, ['defn', 'abbr', 'syn', 'see', 'example', 'examples']) AND (list_has_any(w, ['is', 'was', 'were', 'are', 'be', 'been', 'being', 'to', 'of', 'with', 'for', 'by', 'in', 'on', 'one', 'two', 'three', 'four', 'five', 'ten', 'hundred', 'thousand'])
+  OR len(list_filter(w, lambda v: regexp_full_match(v, '\d+'))) > 0) AS valid, count(*) AS sentences FROM t GROUP BY 1"""
+SQL["definition_senses"] = rf"""
+WITH a AS (SELECT DISTINCT dictionary_entry_parsed_id AS id, definition AS c, string_split(regexp_replace(regexp_replace(definition, '\n\s*(?:[0-9]+[.)]|[a-z][.)]|[•*–—-])\s*', chr(1), 'g'), ';\s*([A-Z0-9])', chr(1) || '\1', 'g'), chr(1)) AS p FROM dictionary_entry_parsed)
+SELECT id AS dictionary_entry_parsed_id, CASE WHEN {_blank('c')} THEN '' ELSE array_to_string(list_filter(list_transform(p, lambda x: {_squeeze("regexp_replace(x, '^" + chr(92) + "s*(?:[0-9]+[.)]|[a-z][.)]|[•*–—-])" + chr(92) + "s*', '')")}), lambda x: x <> ''), '|') END AS value FROM a"""
+SQL["html_text"] = f"SELECT DISTINCT dictionary_entry_parsed_id, trim(regexp_replace(coalesce(meaning_title, '') || ' & ' || coalesce(alias, ''), '{SPACE}+', ' ', 'g')) AS value FROM dictionary_entry_parsed"
+SQL["enhancement_notes"] = f"""WITH {_FOLD} SELECT id AS dictionary_entry_parsed_id, t AS after, to_json({{'original': before, 'rules': rules}})::VARCHAR AS notes FROM f{len(_STEPS)} WHERE len(rules) > 0 AND id NOT IN (SELECT dictionary_entry_parsed_id FROM dictionary_entry_synonym WHERE dictionary_entry_parsed_id IS NOT NULL)"""
+SQL["suggestion_pairs"] = f"""
+WITH x AS (SELECT DISTINCT p.source_code, 'Definition' AS mode, {_trim('p.definition')} AS original, t.value AS enhanced FROM dictionary_entry_parsed p JOIN ({SQL['definition_tidy'].replace('FROM dictionary_entry_parsed', f"FROM (SELECT dictionary_entry_parsed_id, {_trim('definition')} AS definition FROM dictionary_entry_parsed)")}) t USING (dictionary_entry_parsed_id)
+  UNION SELECT p.source_code, 'MeaningTitle', {_trim('p.meaning_title')}, t.value FROM dictionary_entry_parsed p JOIN ({SQL['title_case'].replace('FROM dictionary_entry_parsed', f"FROM (SELECT dictionary_entry_parsed_id, {_trim('meaning_title')} AS meaning_title FROM dictionary_entry_parsed)")}) t USING (dictionary_entry_parsed_id))
+SELECT *, upper(sha256(original)) AS hash FROM x WHERE NOT {_blank('source_code')} AND NOT {_blank('original')} AND NOT {_blank('enhanced')} AND original <> enhanced"""
+SQL["ai_notes_merge"] = """SELECT event_id, '{"k":"' || json_extract_string(props, '$.k') || '","suggestions":"[\\"' || event_type || '\\"]"}' AS notes FROM events"""
+_MARKED = _trim("part_of_speech")
+_DOTTED = _MARKED
+for _a in ("adj", "v", "n", "pl", "fig", "obs"):
+    _DOTTED = rf"regexp_replace({_DOTTED}, '(?i)(^|[\s(\[{{,/;:])({_a})($|[\s)\]}}.,;:])', '\1\2.\3', 'g')"
+_DOTTED = rf"regexp_replace(regexp_replace({_DOTTED}, '(?i)\b(adj|v|n|pl|fig|obs)\.\.+', '\1.', 'g'), '(?i)\b(adj|v|n|pl|fig|obs)\.\s*([A-Za-z])', '\1. \2', 'g')"
+SQL["abbreviation_standardize"] = rf"SELECT DISTINCT dictionary_entry_id, CASE WHEN {_blank('part_of_speech')} OR length({_MARKED}) > 260 OR regexp_matches(regexp_replace({_MARKED}, '[\x00-\x7f]', '', 'g'), '\p{{L}}') THEN {_MARKED} ELSE {_DOTTED} END AS value FROM dictionary_entry"
+
+# Counts of the parse stage, from the parts above.
+SQL["parse_manifest"] = f"""WITH {_SAID}, e AS (SELECT s, id FROM said WHERE i = 5 AND regexp_matches('it is the way of ' || other, '^.{{10,}}$')), n AS (SELECT s, CASE WHEN s = 'KAIKKI' THEN count(DISTINCT (word, d, number)) ELSE count(*) END AS senses FROM said GROUP BY s)
+SELECT n.s AS source_code, senses, coalesce(x.examples, 0) AS examples, true AS done FROM n LEFT JOIN (SELECT s, count(*) AS examples FROM e GROUP BY s) x ON x.s IS NOT DISTINCT FROM n.s"""
+SQL["sense_examples"] = f"WITH {_SAID} SELECT id AS dictionary_entry_parsed_id, 'It is the way of ' || other || '.' AS example FROM said WHERE i = 5"

@@ -46,16 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder; what is there is deleted when the driver's JVM ends."""
+    at = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return at
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: its lineage ends there, and losing an executor loses nothing.
 
     The files are deleted when the driver's JVM ends.
     """
     spark = df.sparkSession
-    at = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    at = scratch(spark, "cut")
     df.write.parquet(at)
-    path = spark._jvm.org.apache.hadoop.fs.Path(at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(at)
 
 

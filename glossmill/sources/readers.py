@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from glossmill.functions import text
-from glossmill.sources.lines import blocks, lines
+from glossmill.sources.lines import blocks, lines, running
 
 ENTRY = ("source_code", "headword", "part_of_speech", "sense_number", "definition", "examples", "synonyms", "domain", "etymology", "pronunciation", "see_also", "raw")
 
@@ -36,6 +36,12 @@ def _entry(df: DataFrame, source: str, **columns: Column) -> DataFrame:
     return df.select(*[made.get(c, none.get(c, F.lit(None).cast("string"))).alias(c) for c in ENTRY])
 
 
+def _rest(a: Column | str) -> Column:
+    """All but the first of an array."""
+    a = F.col(a) if isinstance(a, str) else a
+    return F.slice(a, F.lit(2), F.greatest(F.size(a) - 1, F.lit(0)))
+
+
 def _distinct(a: Column) -> Column:
     """Trimmed texts of an array, blanks dropped, each once."""
     return F.array_distinct(F.filter(F.transform(F.coalesce(a, F.array().cast("array<string>")), text.squeeze), lambda x: x != ""))
@@ -50,12 +56,13 @@ def read_kaikki(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object a line; English entries only; raw_glosses where glosses are missing; each gloss once a word."""
     j = spark.read.text(path).select(F.trim("value").alias("raw")).where("raw <> ''").withColumn("j", F.from_json("raw", KAIKKI))
     j = j.where("j.word IS NOT NULL AND (lower(j.lang_code) = 'en' OR lower(j.lang) LIKE '%english%')")
-    s = j.select("raw", "j", F.posexplode("j.senses").alias("i", "s"))
-    glosses = F.when(F.size(F.coalesce("s.glosses", F.array().cast("array<string>"))) > 0, F.col("s.glosses")).otherwise(F.col("s.raw_glosses"))
-    s = s.withColumn("gloss", clean_wiki(F.element_at(glosses, -1))).where("gloss <> ''")
-    # Of equal glosses the first stays; an entry's senses are few, so its windows are small.
-    s = s.withColumn("n", F.row_number().over(Window.partitionBy("raw", "gloss").orderBy("i"))).where("n = 1")
-    s = s.withColumn("sense", F.row_number().over(Window.partitionBy("raw").orderBy("i")))
+    none = F.array().cast("array<string>")
+    gloss = lambda s: clean_wiki(F.try_element_at(F.when(F.size(F.coalesce(s["glosses"], none)) > 0, s["glosses"]).otherwise(s["raw_glosses"]), F.lit(-1)))
+    glossed = F.filter(F.transform("j.senses", lambda s: F.struct(s.alias("s"), gloss(s).alias("gloss"))), lambda x: x["gloss"] != "")
+    # Of equal glosses the first stays, all within the row.
+    j = j.withColumn("all", glossed)
+    first = F.filter("all", lambda x, i: F.array_position(F.transform(F.col("all"), lambda y: y["gloss"]), x["gloss"]) == i + 1)
+    s = j.select("raw", "j", F.posexplode(first).alias("i", "x")).select("raw", "j", (F.col("i") + 1).alias("sense"), "x.s", "x.gloss")
     return _entry(
         s, "KAIKKI", headword=F.col("j.word"), part_of_speech=text.normalize_pos(F.col("j.pos")), sense_number=F.col("sense"), definition=F.col("gloss"),
         examples=_distinct(F.col("s.examples.text")), synonyms=_distinct(F.col("s.synonyms.word")), domain=F.get(F.col("s.categories.name"), 0),
@@ -74,9 +81,20 @@ def clean_wiki(c: Column) -> Column:
 
 
 def read_structured(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON map of entries a file; senses by their sequence, 1 where it is not positive."""
-    schema = "map<string, struct<original_cased_word:string, transliterated_word:string, definitions:array<struct<part_of_speech:string, definition:string, sequence:int>>>>"
-    m = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", schema)).alias("key", "e")).where("e IS NOT NULL")
+    """JSON maps of entries; senses by their sequence, 1 where it is not positive.
+
+    A file is parted where an entry begins, one level below the map, so it is read in splits; a map on one line is one row.
+    """
+    entry = "struct<original_cased_word:string, transliterated_word:string, definitions:array<struct<part_of_speech:string, definition:string, sequence:int>>>"
+    bare = F.regexp_replace("line", r'"(?:[^"\\\\]|\\\\.)*"', "")
+    depth = F.length(F.regexp_replace(bare, r"[^{\[]", "")) - F.length(F.regexp_replace(bare, r"[^}\]]", ""))
+    n = running(lines(spark, path).withColumn("depth", depth), "depth")
+    whole = n.where((F.col("before") == 0) & (F.col("depth") == 0) & F.col("line").rlike(r"^\s*\{.*\}\s*$")).select(F.col("line").alias("value"))
+    parts = blocks(n.where(~((F.col("before") == 0) & (F.col("depth") == 0))), (F.col("before") == 1) & F.col("line").rlike(r'^\s*"'))
+    # The last entry's block ends with the bracket of the map.
+    text_of = F.regexp_replace(F.array_join("lines", "\n"), r"\s*,?\s*$", "")
+    parted = F.when(F.from_json(F.concat(F.lit("{"), text_of, F.lit("}")), f"map<string, {entry}>").isNotNull(), F.concat(F.lit("{"), text_of, F.lit("}"))).otherwise(F.concat(F.lit("{"), text_of))
+    m = whole.union(parts.select(parted)).select(F.explode(F.from_json("value", f"map<string, {entry}>")).alias("key", "e")).where("e IS NOT NULL")
     d = m.select("key", "e", F.explode("e.definitions").alias("d")).where(~text.blank(F.col("d.definition")))
     return _entry(d, "STRUCT_JSON", headword=F.coalesce("e.original_cased_word", "key"), part_of_speech=text.normalize_pos(F.col("d.part_of_speech")), sense_number=F.when(F.col("d.sequence") > 0, F.col("d.sequence")).otherwise(1), definition=text.squeeze(F.col("d.definition")), raw=F.to_json("d"))
 
@@ -114,10 +132,10 @@ def read_headword_blocks(spark: SparkSession, path: str) -> DataFrame:
     n = lines(spark, path).where(~F.trim("line").rlike(r"^(\*\*\*|Project Gutenberg|Title:|Author:)"))
     t = F.trim("line")
     b = blocks(n, (F.length(t).between(1, 80)) & t.rlike(r"^[A-Z][A-Z'\- ;.,]*(?:\(\w+\))?\.?$") & t.rlike("[A-Z]{2,}|^A$"))
-    body = F.split(F.array_join(F.slice("lines", 2, 1_000_000), "\n"), r"\n\s*\n\s*\n")[0]
+    body = F.split(F.array_join(_rest("lines"), "\n"), r"\n\s*\n\s*\n")[0]
     b = b.select(F.trim(F.regexp_replace(F.col("lines")[0], r"[.;]+$", "")).alias("head"), body.alias("body"))
     parts = F.transform(F.split("body", r"(?m)^\s*(?:\d+\.\s+|Defn:\s*)"), lambda x: text.squeeze(F.regexp_replace(F.regexp_replace(x, r"(?s)(?:Etym:|Syn\.|\n\s*--).*", ""), r"\n", " ")))
-    good = F.filter(F.slice(parts, 2, 10_000), lambda x: F.length(x) >= 10)
+    good = F.filter(_rest(parts), lambda x: F.length(x) >= 10)
     s = b.withColumn("first", parts[0]).select("*", F.posexplode(F.array_distinct(good)).alias("i", "d"))
     pos = F.regexp_extract("first", r"\b(n|v|a|adv|prep|conj|pron|interj|adj)\.", 0)
     return _entry(
@@ -132,10 +150,10 @@ def read_separated_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Entries between rules of dashes; senses at `N.CODE`; `•` and `...` examples, `【…】：` notes, `→see:` references."""
     n = lines(spark, path).withColumn("line", text.trim(F.col("line"))).where("line <> ''")
     b = blocks(n, F.col("line").rlike("^(——————————————|---------------|================)"))
-    b = b.select(F.filter(F.slice("lines", 2, 1_000_000), lambda x: x != "").alias("lines")).where(F.size("lines") > 1)
+    b = b.select(F.filter(_rest("lines"), lambda x: x != "").alias("lines")).where(F.size("lines") > 1)
     head = F.get(F.filter(F.slice("lines", 1, 3), lambda x: ~x.rlike(r"^\d+\.[A-Z]|^【|^•|^\.\.\.") & x.rlike("[A-Za-z]")), 0)
     b = b.select(F.regexp_extract(F.trim(F.regexp_replace(head, "[★☆●○]+", " ")), r"^([A-Za-z0-9'\-]+)", 1).alias("head"), F.array_join("lines", "\n").alias("body")).where("head <> ''")
-    pieces = F.slice(F.split("body", r"(?m)^(?=\d+\.[A-Z])"), 2, 10_000)
+    pieces = _rest(F.split("body", r"(?m)^(?=\d+\.[A-Z])"))
     s = b.select("head", F.explode(pieces).alias("p"))
     p = F.split("p", "\n")
     note = lambda name: F.nullif(F.trim(F.regexp_extract("p", f"【{name}】：\\s*(.+)", 1)), F.lit(""))
@@ -156,11 +174,11 @@ def read_sectioned_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Entries under a headword line that a `▶` block follows; numbered senses with labels, `»` examples, `【…】` sections."""
     n = lines(spark, path).withColumn("line", text.trim(F.col("line"))).where("line <> ''")
     b = blocks(n, F.col("line").rlike(r"^[A-Za-z][A-Za-z'\- ]*\d*(?:\s+/[^/]+/)?(?:\s*▶.*)?$") & ~F.col("line").rlike("[.!?:,;]$"))
-    b = b.select(F.col("lines")[0].alias("h"), F.array_join(F.slice("lines", 2, 1_000_000), "\n").alias("body"), F.array_join("lines", "\n").alias("raw"))
+    b = b.select(F.col("lines")[0].alias("h"), F.array_join(_rest("lines"), "\n").alias("body"), F.array_join("lines", "\n").alias("raw"))
     head = F.trim(F.regexp_replace(F.regexp_extract("h", r"^([A-Za-z][A-Za-z'\- ]*)", 1), r"\s*\d+$", ""))
     section = lambda name: F.nullif(text.squeeze(F.regexp_extract("body", f"(?s)【(?:{name})】\\s*([^【]*)", 1)), F.lit(""))
     main = F.regexp_replace("body", r"(?s)【(?:Etymology|语源|派生|IDIOMS)】[^【]*", "")
-    s = b.select("h", "body", "raw", F.explode(F.slice(F.split(main, r"(?m)^(?=\d+\s)"), 2, 10_000)).alias("p"))
+    s = b.select("h", "body", "raw", F.explode(_rest(F.split(main, r"(?m)^(?=\d+\s)"))).alias("p"))
     label = F.regexp_extract("p", r"^\d+\s+[\[(]([^\])]+)[\])]", 1)
     definition = text.squeeze(F.regexp_replace(F.split(F.regexp_replace(F.split("p", "[»•【]")[0], r"^\d+\s*(?:[\[(][^\])]+[\])]\s*)*", ""), HAN)[0], r"\n", " "))
     s = s.withColumn("d", definition).where("d <> ''")
@@ -250,7 +268,11 @@ def read_html(spark: SparkSession, path: str) -> DataFrame:
                         rows += [(head, e.get("pos", "").strip(), i, d, e["example"], e.get("gram", "").strip() or None, e.get("phonetics", "").strip() or None) for i, d in enumerate(senses, 1)]
             yield pd.DataFrame(rows, columns=["head", "pos", "i", "d", "examples", "gram", "ipa"])
 
-    t = spark.read.text(path, wholetext=True).mapInPandas(parse, "head string, pos string, i int, d string, examples array<string>, gram string, ipa string")
+    # A block begins at its division, so files are read in splits.
+    starts = r"(?i)(?=<div[^>]*\bword_block\b)"
+    pieces = lines(spark, path).select("file", "split", "pos", F.posexplode(F.split("line", starts)).alias("piece", "line")).withColumn("pos", F.struct("pos", "piece"))
+    b = blocks(pieces, F.col("line").rlike(r"(?i)^<div[^>]*\bword_block\b"))
+    t = b.select(F.array_join("lines", "\n").alias("value")).mapInPandas(parse, "head string, pos string, i int, d string, examples array<string>, gram string, ipa string")
     return _entry(t, "CENTURY21", headword=F.col("head"), part_of_speech=text.normalize_pos(F.col("pos")), sense_number=F.col("i"), definition=F.col("d"), examples=_distinct(F.col("examples")), domain=F.col("gram"), pronunciation=F.col("ipa"))
 
 

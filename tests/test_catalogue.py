@@ -15,8 +15,15 @@ def test_query(spark, sf, con, name):
         got, want = both(spark, sf, QUERIES[name], ORACLES[name], con)
         assert got == want
     else:
-        df = QUERIES[name](spark, sf)
-        assert df.columns and df.count() >= 0
+        assert QUERIES[name](spark, sf).count() > 0
+
+
+def test_no_comparison_is_of_nothing(spark):
+    """On the next larger tables every query has rows, so no comparison with SQL passes by comparing nothing."""
+    import duckdb  # noqa: F401
+
+    con = connection("/root/testdata/sf0.01")
+    assert [n for n, sql in ORACLES.items() if n in QUERIES and con.execute(f"SELECT count(*) FROM ({sql})").fetchone()[0] == 0] == []
 
 
 def test_entry(spark):
@@ -41,13 +48,28 @@ def test_empty_tables(spark, sf, tmp_path_factory, name):
 
         for f in glob.glob(f"{sf}/*.parquet"):
             spark.read.parquet(f).limit(0).withColumn("n", F.lit(1)).withColumn("key", F.lit("x")).coalesce(1).write.parquet(str(at / os.path.basename(f)))
-    assert QUERIES[name](spark, str(at)).count() >= 0
+    rows = QUERIES[name](spark, str(at)).collect()
+    # Counts over empty tables are rows, too.
+    assert not rows or name in ("graph_validate", "post_merge_verify", "qa_summary", "grammar_sample", "parse_tables")
 
 
 def test_suggestions_hold_the_whole_text(spark, tmp_path):
-    """A fifth word counts, and titles are searched among titles."""
-    rows = [(50, "to carry over a river", "ferry boat"), (51, "to carry over a hill", "ferry"), (52, "over a river to carry it", "boat by ferry"), (53, "boat ferry", None), (100, None, "river")]
-    spark.createDataFrame(rows, "dictionary_entry_parsed_id long, definition string, meaning_title string").write.parquet(str(tmp_path / "dictionary_entry_parsed.parquet"))
-    hits = {(r.mode, r.query_id, r.doc_id) for r in QUERIES["suggestion_whole"](spark, str(tmp_path)).collect()}
-    assert hits == {("definition", 50, 52), ("title", 50, 52)}
-    assert {(r.query_id, r.doc_id) for r in QUERIES["suggestion_topk"](spark, str(tmp_path)).collect()} == {(50, 51), (50, 52)}
+    """A fifth word counts, titles are searched among titles, and sources do not meet."""
+    rows = [(50, "to carry over a river", "carry a", "S"), (51, "to carry over a hill", "carry", "S"), (52, "over a river to carry it", "a carry yes", "S"), (53, "carry over a river to go", None, "T"), (100, None, "river", "S")]
+    rows += [(1000 + i, f"w{i} v{i}", f"t{i}", "S") for i in range(40)]
+    spark.createDataFrame(rows, "dictionary_entry_parsed_id long, definition string, meaning_title string, source_code string").write.parquet(str(tmp_path / "dictionary_entry_parsed.parquet"))
+    got = QUERIES["suggestion_whole"](spark, str(tmp_path)).collect()
+    assert {(r.mode, r.query_id, r.doc_id) for r in got} == {("definition", 50, 52), ("title", 50, 52)} and all(r.score >= 1.2 and r.preview for r in got)
+    assert {(r.query_id, r.doc_id) for r in QUERIES["suggestion_topk"](spark, str(tmp_path)).collect()} == {(50, 51), (50, 52), (100, 50), (100, 52)}
+
+
+def test_stream_counts_an_entry_once_over_several_batches(spark, tmp_path):
+    """The table arrives in several files, one a batch, and an entry again in a later one."""
+    from glossmill.streaming.incremental import canonical_words_once
+
+    entry = lambda i, w: (i, w)
+    at = str(tmp_path / "dictionary_entry.parquet")
+    for part in ([entry(1, "oak"), entry(2, "Oak"), entry(3, None)], [entry(1, "oak"), entry(4, "elm")], [entry(2, "oak"), entry(5, "two words")]):
+        spark.createDataFrame(part, "dictionary_entry_id long, word string").coalesce(1).write.mode("append").parquet(at)
+    got = {r.normalized_word: r.entries for r in canonical_words_once(spark, str(tmp_path), files=1).collect()}
+    assert got == {"oak": 2, "elm": 1}

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.operators import ai, graph, lexicon, references, rewrite, skew, suggest
+from glossmill.operators import ai, extract, graph, lexicon, parse, references, rewrite, skew, suggest
 
 
 def test_attach_equals_join_for_heavy_and_light_keys(spark, monkeypatch):
@@ -119,7 +119,7 @@ def test_pipeline_keeps_tokens_and_tells_what_is_stable(spark):
     rows = [(1, "see  a cat@cat.com , the cat"), (2, None), (3, "  "), (4, "fine."), (5, "adj , iPhone cat")]
     df = spark.createDataFrame(rows, "id int, t string")
     got = {r.id: (r.after, r.stable) for r in rewrite.changed(df, "id", "t", rewrite.ordered([rewrite.Rule(1, "cat", "dog"), rewrite.Rule(2, "iphone", "phone")]), rewrite.pattern_rules([{"id": "a", "pattern": r"\ba\b", "replacement": "one"}])).collect()}
-    assert got == {1: ("see one cat@cat.com, the dog", True), 5: ("adj., iPhone dog", True)}
+    assert got == {1: ("see one cat@cat.com, the dog", True), 5: ("adj, iPhone dog", True)}
     senses = spark.createDataFrame([(1, "a cat", "the CAT of x", ["cat !", "no"]), (2, "cat", None, None), (3, None, None, [])], "dictionary_entry_parsed_id long, definition string, meaning_title string, examples array<string>")
     done = rewrite.job(senses, senses.where("dictionary_entry_parsed_id = 2"), rewrite.ordered([rewrite.Rule(1, "cat", "dog")])).collect()
     assert {(r.field, r.after) for r in done} == {("Definition", "a dog"), ("MeaningTitle", "The Dog of X"), ("Example", "dog!")} and all(r.before in r.notes for r in done)
@@ -128,7 +128,7 @@ def test_pipeline_keeps_tokens_and_tells_what_is_stable(spark):
 def test_search_needs_all_terms_and_ranks(spark):
     d = spark.createDataFrame([(1, "red fox runs"), (2, "red fox"), (3, "red dog"), (4, None), (5, ""), (6, "fox red red")], "doc_id long, text string")
     q = spark.createDataFrame([(100, "red fox"), (101, "blue"), (102, None)], "query_id long, text string")
-    got = [(r.query_id, r["rank"], r.doc_id) for r in suggest.search(d, q, 2).orderBy("query_id", "rank").collect()]
+    got = [(r.query_id, r["rank"], r.doc_id) for r in suggest.search(d, q, 2, 0.0).orderBy("query_id", "rank").collect()]
     assert [g[0] for g in got] == [100, 100] and {g[2] for g in got} <= {1, 2, 6}
     assert suggest.search(d.limit(0), q).count() == 0
 
@@ -153,3 +153,34 @@ def test_orphans_of_empty_tables(spark, sf):
     assert references.found(e.limit(0), n, r, lab).count() == 0
     known = e.select(F.explode(F.array(*[F.col(f) for f in references.FIELDS])).alias("v")).where("v IS NOT NULL").count()
     assert 0 < references.broken(e, n.limit(0), r.limit(0), lab.limit(0)).count() <= known
+
+
+def test_phrases_tell_synonyms_by_source(spark):
+    rows = [
+        (1, "Oak", "oak means tree.", "ENG_OXFORD"), (2, "oak", "Oak means the same as tree", "ENG_COLLINS"), (3, "oak", "an elm or oak, also called quercus, known as it, see also ash", "ENG_COLLINS"), (4, "oak", "oak is tree", "OTHER"), (5, "oak", "oak is oak", "OTHER"),
+        (6, "big", "big is small", "OTHER"), (7, "go", "If you go away, you leave it.", "ENG_CHN"), (8, "run", "running is racing", "ENG_CHN"), (9, "running", "Running is racing.", "ENG_CHN"), (10, None, "oak is tree", "OTHER"), (11, "oak", None, "OTHER"), (12, "oak", "similar to 橡 elm", "ENG_CHN"), (13, "oak", "elm is oak", None),
+    ]
+    df = spark.createDataFrame(rows, "id int, w string, d string, s string").withColumn("h", F.lit("clash"))
+    got = {(r.id, r.synonym, r.level) for r in extract.synonyms(df, "id", "w", "d", "s").collect()}
+    assert got == {(1, "tree", "high"), (2, "tree", "high"), (3, "elm", "medium"), (3, "quercus", "medium"), (3, "it", "medium"), (3, "ash", "low"), (4, "tree", "medium"), (7, "leave", "high"), (9, "racing", "high"), (12, "elm", "low"), (13, "elm", "medium")}
+
+
+def test_parse_writes_its_tables(spark):
+    rows = [(1, "oak", "oak means tree", None, 1, "ENG_OXFORD", "law", "Acorn"), (1, "oak", "A tree. “It is the way of trees.” See ash", None, 2, "ENG_OXFORD", None, None), (1, "oak", "Another. “it is the way of trees” Origin: Old French x", None, 3, "ENG_OXFORD", None, None), (2, "дуб", "дерево", None, None, "GUT_WEBSTER", None, None), (3, None, None, None, None, None, None, None)]
+    e = spark.createDataFrame(rows, "dictionary_entry_id long, word string, definition string, raw_fragment string, sense_number int, source_code string, domain string, alias string")
+    t = parse.parse(e)
+    senses = {(r.dictionary_entry_id, r.sense_number): r.definition for r in t.senses.collect()}
+    assert senses == {(1, 1): "Oak means tree.", (1, 2): 'A tree. "It is the way of trees." See ash.', (1, 3): 'Another. "it is the way of trees" Origin: Old French x.', (2, 1): "[NON_ENGLISH_DEFINITION]", (3, 1): ""}
+    assert [(r.sense_number, r.example) for r in t.examples.collect()] == [(2, "“It is the way of trees.”")]
+    assert [(r.target, r.type) for r in t.references.collect()] == [("ash", "see")] and [r.synonym for r in t.synonyms.collect()] == ["tree"] and [r.alias for r in t.aliases.collect()] == ["Acorn"]
+    assert [r.language_code for r in t.etymologies.collect()] == ["fro"] and [r.text for r in t.other_languages.collect()] == ["дерево"]
+    assert parse.insert_or_get(t.senses, t.senses).count() == 0 and parse.insert_or_get(t.senses.union(t.senses), t.senses.limit(0)).count() == 5
+
+
+def test_shortest_paths_and_merged_concepts(spark):
+    e = spark.createDataFrame([("A", "B", "r"), ("A", "C", "r"), ("B", "T:1", "r"), ("C", "T:1", "r"), ("T:1", "T:2", "r"), ("A", "D", "r"), ("D", "A", "r"), (None, "A", "r")], "from_node_id string, to_node_id string, relation_type string")
+    s = spark.createDataFrame([("A",)], "node_id string")
+    assert [tuple(r) for r in graph.shortest(e, s, "T:", 5).collect()] == [("A", "T:1", 2, "A>B>T:1")]
+    b = spark.createDataFrame([("Sense:1", "Concept:1", "BELONGS_TO"), ("Sense:2", "Concept:2", "BELONGS_TO"), ("Sense:3", "Concept:3", "BELONGS_TO")], "from_node_id string, to_node_id string, relation_type string")
+    same = spark.createDataFrame([("Concept:2", "Concept:1")], "a string, b string")
+    assert {(r.from_node_id, r.to_node_id) for r in graph.merged_concepts(b, same).collect()} == {("Sense:1", "Concept:1"), ("Sense:2", "Concept:1"), ("Sense:3", "Concept:3")}
