@@ -438,10 +438,10 @@ def test_languages_have_levels_of_their_own(spark):
         assert part.level.rank().corr(part.share.rank()) > 0.9 and set(part.band) == {1, 2, 3, 4, 5} and abs(part.level.mean()) < 0.3
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
-def test_query_runs(spark, sf, name):
-    df = queries.QUERIES[name](spark, sf)
-    assert df.columns and df.count() >= 0
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_query_has_rows(spark, sf, name):
+    """Those that no SQL is compared with."""
+    assert queries.QUERIES[name](spark, sf).count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
@@ -453,7 +453,7 @@ def test_query_over_empty_tables(spark, sf, tmp_path_factory, name):
 
         for f in glob.glob(f"{sf}/*.parquet"):
             spark.read.parquet(f).limit(0).coalesce(1).write.parquet(str(at / os.path.basename(f)))
-    assert queries.QUERIES[name](spark, str(at)).count() >= 0
+    assert queries.QUERIES[name](spark, str(at)).collect() == []
 
 
 def test_sql_gives_the_same(spark, sf):
