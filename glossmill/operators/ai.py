@@ -24,6 +24,18 @@ def first_success(answers: DataFrame) -> DataFrame:
     return ok.groupBy("item_id").agg(F.min(F.struct("position", "answer")).alias("b")).select("item_id", "b.answer")
 
 
+def chosen(providers: list[str], named: str | None = None, most: int | None = None) -> list[str]:
+    """The providers to ask, in order: the named one first if it is known, each once, at most so many."""
+    order = ([named] if named in providers else []) + [p for p in dict.fromkeys(providers) if p != named]
+    return order if most is None else order[: max(most, 0)]
+
+
+def chunked(items: DataFrame, key: str, size: int) -> DataFrame:
+    """items with `chunk`, a number that about `size` of them share; rows of one key are in one chunk, without a sort."""
+    n = max(1, -(-items.count() // max(1, size)))
+    return items.withColumn("chunk", F.pmod(F.xxhash64(key), F.lit(n)).cast("long"))
+
+
 def filled(template: str, values: dict[str, Column]) -> Column:
     """A template with each {{name}} replaced by a Column; names without a value, and null values, become empty."""
     import re

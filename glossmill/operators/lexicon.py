@@ -94,6 +94,30 @@ def validated(parsed: DataFrame) -> DataFrame:
     return parsed.select("dictionary_entry_parsed_id", reason.alias("reason")).distinct()
 
 
+def preprocessed(entries: DataFrame) -> DataFrame:
+    """(dictionary_entry_id, word, language, normalized_word): entries as they are imported: without a marker of a domain before
+    the word, and only those whose word may become a canonical one."""
+    word = text.without_domain_marker(F.col("word")).alias("word")
+    e = entries.select("dictionary_entry_id", word).distinct().select("*", text.word_language(F.col("word")).alias("language"), text.sanitize_word(F.col("word")).alias("normalized_word"))
+    return e.where(text.canonical_eligible(F.col("normalized_word")))
+
+
+def validated_by_source(parsed: DataFrame) -> DataFrame:
+    """(dictionary_entry_parsed_id, reason): why a sense is not valid by the rules of its source, ok if it is.
+
+    All need a title and a definition; Oxford's senses need a number from 1, Gutenberg's more than five characters, and those
+    of the bilingual lines a double arrow or a Chinese character.
+    """
+    d = text.trim(F.col("definition"))
+    s = F.col("source_code")
+    reason = (
+        F.when(text.blank(F.col("meaning_title")), "word missing").when(text.blank(F.col("definition")), "definition missing")
+        .when((s == "ENG_OXFORD") & (F.coalesce("sense_number", F.lit(0)) < 1), "no sense number").when((s == "GUT_WEBSTER") & (F.length(d) <= 5), "definition too short")
+        .when((s == "ENG_CHN") & ~d.rlike("[⬄一-鿿]"), "not bilingual").otherwise("ok")
+    )
+    return parsed.select("dictionary_entry_parsed_id", reason.alias("reason")).distinct()
+
+
 def other_languages(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Definitions in other languages and what replaces them.
 

@@ -88,3 +88,17 @@ def safe(c: Column, most: int) -> Column:
 
 def score_band(score: Column) -> Column:
     return F.when(score >= 2.0, 0.9).when(score >= 1.6, 0.8).when(score >= 1.2, 0.7).otherwise(0.6)
+
+
+#: The longest text of each mode that may become a rewrite.
+SAFE_CHARS = {"title": 80, "definition": 300, "example": 200}
+
+
+def candidates(hits: DataFrame) -> DataFrame:
+    """(query_id, mode, doc_id, confidence): hits (query_id, mode, doc_id, score, preview) whose text may become a rewrite, as sure
+    as the band of their score."""
+    ok = None
+    for mode, most in SAFE_CHARS.items():
+        one = (F.col("mode") == mode) & safe(F.col("preview"), most)
+        ok = one if ok is None else ok | one
+    return hits.where(ok).select("query_id", "mode", "doc_id", score_band(F.col("score")).alias("confidence"))

@@ -55,6 +55,14 @@ def grammar_sample(parsed: DataFrame, n: int = 100, warn: int = 10) -> DataFrame
     return chosen.agg(F.count("*").alias("sampled"), bad.alias("failures")).withColumn("status", status)
 
 
+def source_counts(entries: DataFrame, parsed: DataFrame) -> DataFrame:
+    """(source_code, entries, parsed, unparsed, senses): the entries of each source with and without senses."""
+    e = entries.select("dictionary_entry_id", "source_code").dropDuplicates(["dictionary_entry_id"])
+    n = parsed.select("dictionary_entry_id", "dictionary_entry_parsed_id").distinct().groupBy("dictionary_entry_id").agg(F.count("*").alias("n"))
+    j = e.join(n, "dictionary_entry_id", "left").groupBy("source_code")
+    return j.agg(F.count("*").alias("entries"), F.count("n").alias("parsed"), F.count_if(F.col("n").isNull()).alias("unparsed"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("senses"))
+
+
 def coverage(canonical: DataFrame, pronounced: DataFrame, least: float = 0.5) -> DataFrame:
     """(locale, words, share, status): how many canonical words have a pronunciation in each locale."""
     total = F.lit(max(canonical.count(), 1))

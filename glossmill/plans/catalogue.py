@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import display, language, speech, text
-from glossmill.operators import ai, extract, graph, lexicon, parse, references, rewrite, skew, suggest, verify
+from glossmill.operators import ai, extract, grammar, graph, lexicon, parse, references, rewrite, skew, suggest, verify
 from glossmill.plans import oracles
 from glossmill.session import cut, spread, table
 from glossmill.streaming import incremental
@@ -493,6 +493,28 @@ def parse_manifest(p: DataFrame) -> DataFrame:
     return parse.manifest(parse.parse(_said(p)))
 
 
+_add("import_preprocess", lexicon.preprocessed, ENTRY)
+_add("validate_sources", lexicon.validated_by_source, PARSED)
+_add("source_counts", verify.source_counts, ENTRY, PARSED)
+QUERIES["suggestion_candidates"] = lambda spark, d: suggest.candidates(QUERIES["suggestion_whole"](spark, d))
+
+
+@_over(PARSED)
+def grammar_chain(p: DataFrame) -> DataFrame:
+    """Definitions that a chain of two correctors changes, and which of them did."""
+    chain = [grammar.Corrector("scan", text.ocr_normalize, 90), grammar.Corrector("brackets", rewrite.balanced, 70), grammar.Corrector("none", lambda c: F.lit(""), 10)]
+    return grammar.corrected(p, "dictionary_entry_parsed_id", "definition", chain).select("dictionary_entry_parsed_id", "after", F.array_join("engines", ",").alias("engines"), "confidence")
+
+
+@_over(PARSED, CANONICAL)
+def spell_split(p: DataFrame, c: DataFrame) -> DataFrame:
+    """Titles joined to the first word of their definition, as scans do, parted again by the words of all definitions."""
+    words = text.tokens(F.col("definition"))
+    lexicon_ = p.where("definition IS NOT NULL").select(F.explode(words).alias("word")).unionByName(c.select(F.col("normalized_word").alias("word"))).where(F.length("word") > 3).distinct()
+    joined = p.where("definition IS NOT NULL AND meaning_title IS NOT NULL").select(F.concat(F.regexp_replace(F.lower("meaning_title"), r"[^\p{L}\p{N}]", ""), F.coalesce(F.get(words, F.lit(0)), F.lit(""))).alias("token"))
+    return grammar.splits(joined, lexicon_)
+
+
 _each("cjk_strip", PARSED, "dictionary_entry_parsed_id", "definition", lambda c: text.without_cjk_marks(text.without_cjk(c)))
 _each("domain_marker_strip", PARSED, "dictionary_entry_parsed_id", "alias", lambda c: text.without_domain_marker(F.concat(F.lit("(law) "), c)))
 _each("headword_flags", ENTRY, "dictionary_entry_id", "word", text.is_headword)

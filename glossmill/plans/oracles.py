@@ -458,3 +458,25 @@ SQL["abbreviation_standardize"] = rf"SELECT DISTINCT dictionary_entry_id, CASE W
 SQL["parse_manifest"] = f"""WITH {_SAID}, e AS (SELECT s, id FROM said WHERE i = 5 AND regexp_matches('it is the way of ' || other, '^.{{10,}}$')), n AS (SELECT s, CASE WHEN s = 'KAIKKI' THEN count(DISTINCT (word, d, number)) ELSE count(*) END AS senses FROM said GROUP BY s)
 SELECT n.s AS source_code, senses, coalesce(x.examples, 0) AS examples, true AS done FROM n LEFT JOIN (SELECT s, count(*) AS examples FROM e GROUP BY s) x ON x.s IS NOT DISTINCT FROM n.s"""
 SQL["sense_examples"] = f"WITH {_SAID} SELECT id AS dictionary_entry_parsed_id, 'It is the way of ' || other || '.' AS example FROM said WHERE i = 5"
+
+_STRIPPED = _trim("regexp_replace(word, '^[(" + chr(92) + "[【].+?[)" + chr(92) + "]】]" + chr(92) + "s*', '')")
+SQL["import_preprocess"] = f"""WITH e AS (SELECT DISTINCT dictionary_entry_id, {_STRIPPED} AS word FROM dictionary_entry), s AS (SELECT dictionary_entry_id, word, {_LANG.format('word')} AS language, {_SANITIZED} AS normalized_word FROM e)
+SELECT * FROM s WHERE NOT {_blank('normalized_word')} AND NOT contains(normalized_word, ' ') AND NOT contains(normalized_word, chr(39))"""
+SQL["validate_sources"] = f"""SELECT DISTINCT dictionary_entry_parsed_id, CASE WHEN {_blank('meaning_title')} THEN 'word missing' WHEN {_blank('definition')} THEN 'definition missing' WHEN source_code = 'ENG_OXFORD' AND coalesce(sense_number, 0) < 1 THEN 'no sense number'
+  WHEN source_code = 'GUT_WEBSTER' AND length({_D}) <= 5 THEN 'definition too short' WHEN source_code = 'ENG_CHN' AND NOT regexp_matches({_D}, '[⬄一-鿿]') THEN 'not bilingual' ELSE 'ok' END AS reason FROM dictionary_entry_parsed"""
+SQL["source_counts"] = f"""SELECT e.source_code, count(DISTINCT e.dictionary_entry_id) AS entries, count(DISTINCT p.dictionary_entry_id) AS parsed, count(DISTINCT e.dictionary_entry_id) - count(DISTINCT p.dictionary_entry_id) AS unparsed,
+  count(DISTINCT p.dictionary_entry_parsed_id) AS senses FROM {ENTRIES} e LEFT JOIN dictionary_entry_parsed p USING (dictionary_entry_id) GROUP BY e.source_code"""
+_PREVIEW, _MARKS = _trim("preview"), "regexp_replace(" + _trim("preview") + ", '" + chr(92) + "s', '', 'g')"
+SQL["suggestion_candidates"] = rf"""SELECT query_id, mode, doc_id, CASE WHEN score >= 2.0 THEN 0.9 WHEN score >= 1.6 THEN 0.8 ELSE 0.7 END::DOUBLE AS confidence FROM ({SQL['suggestion_whole']})
+WHERE length({_PREVIEW}) > 3 AND length({_PREVIEW}) <= CASE mode WHEN 'title' THEN 80 ELSE 300 END AND NOT regexp_matches({_PREVIEW}, '[\n\r\t]') AND NOT ends_with({_PREVIEW}, ':')
+  AND (length({_MARKS}) - length(regexp_replace({_MARKS}, '\p{{Nd}}', '', 'g'))) / length({_MARKS}) < 0.2 AND (length({_MARKS}) - length(regexp_replace({_MARKS}, '[^\p{{L}}\p{{Nd}}]', '', 'g'))) / length({_MARKS}) < 0.35"""
+SQL["grammar_chain"] = f"""WITH o AS (SELECT DISTINCT dictionary_entry_parsed_id AS id, definition AS before, {_trim(_OCR)} AS c FROM dictionary_entry_parsed WHERE NOT {_blank('definition')}), a AS (SELECT id, c, c AS t FROM o), {_balance('c')},
+z AS (SELECT o.id, o.before, o.c AS one, CASE WHEN r.t <> r.c THEN {_trim('r.t')} ELSE r.c END AS two FROM o JOIN r USING (id))
+SELECT id AS dictionary_entry_parsed_id, two AS after, CASE WHEN one <> before AND two <> one THEN 'scan,brackets' WHEN two <> one THEN 'brackets' ELSE 'scan' END AS engines,
+  CASE WHEN one <> before AND two <> one THEN 80 WHEN two <> one THEN 70 ELSE 90 END AS confidence FROM z WHERE two <> before"""
+_WORDS = r"list_filter(string_split_regex(lower(definition), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+SQL["spell_split"] = rf"""
+WITH d AS (SELECT DISTINCT meaning_title, {_WORDS} AS w FROM dictionary_entry_parsed WHERE definition IS NOT NULL), k AS MATERIALIZED (SELECT DISTINCT lower(word) AS word FROM (SELECT unnest(w) AS word FROM d UNION ALL SELECT normalized_word FROM canonical_word) WHERE length(word) > 3),
+t AS (SELECT DISTINCT lower(regexp_replace(lower(meaning_title), '[^\p{{L}}\p{{N}}]', '', 'g') || coalesce(w[1], '')) AS token FROM d WHERE meaning_title IS NOT NULL), o AS (SELECT token FROM t WHERE length(token) >= 6 AND token NOT IN (SELECT word FROM k)),
+x AS (SELECT token, unnest(range(2, length(token) - 1)) AS n FROM o), y AS (SELECT token, min(n) AS n FROM x WHERE substring(token, 1, n) IN (SELECT word FROM k) AND substring(token, n + 1) IN (SELECT word FROM k) GROUP BY token)
+SELECT token, substring(token, 1, n) || ' ' || substring(token, n + 1) AS split FROM y"""

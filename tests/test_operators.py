@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from glossmill.operators import ai, extract, graph, lexicon, parse, references, rewrite, skew, suggest
+from glossmill.operators import ai, extract, grammar, graph, lexicon, parse, references, rewrite, skew, suggest
 
 
 def test_attach_equals_join_for_heavy_and_light_keys(spark, monkeypatch):
@@ -184,3 +184,15 @@ def test_shortest_paths_and_merged_concepts(spark):
     b = spark.createDataFrame([("Sense:1", "Concept:1", "BELONGS_TO"), ("Sense:2", "Concept:2", "BELONGS_TO"), ("Sense:3", "Concept:3", "BELONGS_TO")], "from_node_id string, to_node_id string, relation_type string")
     same = spark.createDataFrame([("Concept:2", "Concept:1")], "a string, b string")
     assert {(r.from_node_id, r.to_node_id) for r in graph.merged_concepts(b, same).collect()} == {("Sense:1", "Concept:1"), ("Sense:2", "Concept:1"), ("Sense:3", "Concept:3")}
+
+
+def test_a_chain_tells_who_changed_what(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, " "), (4, "b")], "id int, t string")
+    chain = [grammar.Corrector("x", lambda c: F.replace(c, F.lit("a"), F.lit("c")), 90), grammar.Corrector("y", lambda c: F.replace(c, F.lit("c"), F.lit("d")), 50), grammar.Corrector("blank", lambda c: F.lit(" "))]
+    assert [tuple(r) for r in grammar.corrected(df, "id", "t", chain).collect()] == [(1, "a", "d", ["x", "y"], 70)]
+    assert [r.engines for r in grammar.corrected(df, "id", "t", chain, off=("y",)).collect()] == [["x"]] and grammar.corrected(df, "id", "t", chain, enabled=False).count() == 0
+    words = spark.createDataFrame([("there",), ("fore",), ("the",), ("refore",), ("Known",), (None,)], "word string")
+    tokens = spark.createDataFrame([("Therefore",), ("known",), ("theory",), ("fore",), (None,)], "token string")
+    assert [tuple(r) for r in grammar.splits(tokens, words).collect()] == [("therefore", "the refore")]
+    assert ai.chosen(["a", "b", "a", "c"], "c") == ["c", "a", "b"] and ai.chosen(["a"], "x", 0) == []
+    assert ai.chunked(spark.range(100), "id", 10).groupBy("chunk").count().count() == 10
