@@ -36,7 +36,7 @@ def corrected(df: DataFrame, row_id: str, column: str, chain: Sequence[Corrector
     changes nothing. Null and blank texts stay as they are. confidence is the mean of the engines that changed the text.
     """
     run = [c for c in chain if enabled and c.name not in off]
-    out = df.select(row_id, F.col(column).alias("before")).where(~text.blank(F.col("before"))).distinct().withColumn("after", F.col("before"))
+    out = df.select(row_id, F.col(column).alias("before")).where(~text.blank(F.col("before"))).withColumn("after", F.col("before"))
     out = out.withColumn("engines", F.array().cast("array<string>")).withColumn("sure", F.lit(0))
     for c in run:
         out = out.withColumn("_new", once(c.apply(F.col("after"))))
@@ -48,7 +48,7 @@ def corrected(df: DataFrame, row_id: str, column: str, chain: Sequence[Corrector
             (F.col("sure") + F.when(F.col("_changes"), c.confidence).otherwise(0)).alias("sure"),
         )
     kept = out.where("after <> before")
-    return kept.select(row_id, "before", "after", "engines", F.round(F.col("sure") / F.size("engines")).cast("int").alias("confidence"))
+    return kept.select(row_id, "before", "after", "engines", F.round(F.col("sure") / F.greatest(F.size("engines"), F.lit(1))).cast("int").alias("confidence")).distinct()
 
 
 def splits(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:

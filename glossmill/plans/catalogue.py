@@ -304,7 +304,7 @@ def rewrite_pipeline(p: DataFrame) -> DataFrame:
 @_over(PARSED, SYNONYM)
 def rewrite_job(p: DataFrame, s: DataFrame) -> DataFrame:
     """How many fields a run rewrites in senses that have no synonym yet; quoted sentences of a definition are its examples."""
-    senses = p.dropDuplicates(["dictionary_entry_parsed_id"]).withColumn("examples", F.regexp_extract_all("definition", F.lit("“([^”]{10,})”"), 1))
+    senses = spread(p.select("dictionary_entry_parsed_id", "definition", "meaning_title")).withColumn("examples", F.regexp_extract_all("definition", F.lit("“([^”]{10,})”"), 1))
     return rewrite.job(senses, s, rewrite.ordered(RULES, STOP_WORDS), PATTERNS).groupBy("field").agg(F.count("*").alias("rewritten"))
 
 
