@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -196,3 +197,48 @@ def test_a_chain_tells_who_changed_what(spark):
     assert [tuple(r) for r in grammar.splits(tokens, words).collect()] == [("therefore", "the refore")]
     assert ai.chosen(["a", "b", "a", "c"], "c") == ["c", "a", "b"] and ai.chosen(["a"], "x", 0) == []
     assert ai.chunked(spark.range(100), "id", 10).groupBy("chunk").count().count() == 10
+
+
+def _shuffled(spark):
+    """Records written to shuffles by each stage so far."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    stages = sc._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, sc._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return {s.stageId(): s.shuffleWriteRecords() for s in (stages.apply(i) for i in range(stages.size()))}
+
+
+def test_search_follows_the_rarest_term_only(spark):
+    """2,000 texts of 20 words, each word in 40 texts, and a word of its own: the postings of the 20 words stay where they are."""
+    d = spark.range(2000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 19), i -> concat('w', i, 'x', pmod(hash(id, i), 50))), concat('own', id)) AS text")
+    before = _shuffled(spark)
+    got = suggest.search(d, d.withColumnRenamed("doc_id", "query_id").where("query_id % 50 = 0")).count()
+    assert got == 0 and sum(n for s, n in _shuffled(spark).items() if s not in before) < 10 * 2000
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_search_finds_what_every_pair_compared_finds(spark, monkeypatch, broadcast):
+    """Texts of few words, many of them equal or equal but for their order: all ranks, with and without broadcasts."""
+    if not broadcast:
+        monkeypatch.setattr(suggest, "small", lambda df: False)
+        monkeypatch.setattr(suggest, "maybe_broadcast", lambda df: df)
+    r = random.Random(7)
+    docs = [(i, s, " ".join(r.choices("abcdef", weights=[9, 6, 3, 2, 1, 1], k=r.randint(1, 4)))) for i in range(120) for s in ("S", "T")] + [(500, None, "a b"), (501, "S", " - "), (502, "S", None)]
+    asked = [(i, s, t) for i, s, t in docs if i % 3 == 0] + [(900, "S", "a unknown"), (901, "S", "B a"), (902, "S", ""), (903, "U", "a")]
+    d = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    q = spark.createDataFrame(asked, "query_id long, source string, text string")
+    got = sorted((x.query_id, x["rank"], x.doc_id, x.score, x.preview) for x in suggest.search(d, q, 3, 0.3).collect())
+    want = []
+    for qid, source, text_ in asked:
+        words = {i: t.split() for i, s, t in docs if s == source and source and t and t.strip(" -")}
+        need = sorted(set((text_ or "").strip(" -").lower().split()))
+        if not need or not words:
+            continue
+        n, mean, scored = len(words), sum(map(len, words.values())) / len(words), []
+        df = {t: sum(t in w for w in words.values()) for t in need}
+        for i, w in words.items():
+            if i != qid and set(need) <= set(w):
+                idf = lambda t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5))
+                scored.append((-round(sum(idf(t) * w.count(t) * 2.2 / (w.count(t) + 1.2 * (0.25 + 0.75 * len(w) / mean)) for t in need), 6), i))
+        texts = {i: t for i, s, t in docs if s == source}
+        want += [(qid, k, i, -x, texts[i]) for k, (x, i) in enumerate(sorted(y for y in scored if -y[0] >= 0.3)[:3], 1)]
+    assert [x[:3] + x[4:] for x in got] == [x[:3] + x[4:] for x in sorted(want)] and len(want) > 200
+    assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(got, sorted(want), strict=True))
