@@ -214,6 +214,19 @@ def test_search_follows_the_rarest_term_only(spark):
     assert got == 0 and sum(n for s, n in _shuffled(spark).items() if s not in before) < 10 * 2000
 
 
+def test_suggestion_candidates_shuffle_in_proportion(spark, tmp_path):
+    """1,000 definitions of 20 words, each word in 20 of them: the query shuffles some rows for each text, not its words."""
+    from glossmill.plans.catalogue import QUERIES
+
+    words = "concat_ws(' ', transform(sequence(0, 19), i -> concat('w', i, 'x', pmod(hash(id, i), 50))), concat('own', id DIV 100 * 2))"
+    p = spark.range(1000).selectExpr("id AS dictionary_entry_parsed_id", f"IF(id % 100 = 50, NULL, {words}) AS definition", "concat('titles', id DIV 100) AS meaning_title", "'S' AS source_code")
+    p.write.parquet(str(tmp_path / "dictionary_entry_parsed.parquet"))
+    before = _shuffled(spark)
+    got = [(r["mode"], r.query_id, r.doc_id, r.confidence) for r in QUERIES["suggestion_candidates"](spark, str(tmp_path)).collect()]
+    assert len(got) == 60 and all(m == "title" and q // 100 == d // 100 and c == 0.9 for m, q, d, c in got)
+    assert sum(n for s, n in _shuffled(spark).items() if s not in before) < 10 * 2000
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_search_finds_what_every_pair_compared_finds(spark, monkeypatch, broadcast):
     """Texts of few words, many of them equal or equal but for their order: all ranks, with and without broadcasts."""
